@@ -38,6 +38,9 @@ L_PATTERN = {"country": "EUROPE", "issuer": "NATION_3"}
 FALLBACK_MIN_N = 10
 DRILL_DIMS = ["card_brand", "card_type", "amount_bucket", "hour_bucket"]
 RISK_DIMS = ["country", "card_brand", "card_type"]
+L_VARIANTS = ("enrich_buckets", "segments_all", "anomalies", "insights", "first_time_vs_returning",
+              "acquisition_cohorts", "weekly_trend", "pattern_audit", "waterfall", "amount_box",
+              "country_breakdown", "issuer_heatmap", "summary", "hourly_pattern", "recurring_vs_onetime")
 
 
 def r6(c) -> F.Column:
@@ -326,9 +329,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {}
     for name, fn in reg.items():
         out[name] = fn if name in ("fx_normalised", "segment_drill_4d") else _binding(fn, "E")
-    # binding L variants of the heavier queries
-    for name in ("enrich_buckets", "segments_all", "anomalies", "insights", "first_time_vs_returning",
-                 "acquisition_cohorts", "weekly_trend", "pattern_audit", "waterfall", "amount_box",
-                 "country_breakdown", "issuer_heatmap", "summary", "hourly_pattern", "recurring_vs_onetime"):
+    # binding L variants
+    for name in L_VARIANTS:
         out[f"{name}_L"] = _binding(reg[name], "L")
     return out
