@@ -78,14 +78,21 @@ def safe_rate(approved: str | Column, total: str | Column) -> Column:
     return F.coalesce(F.try_divide(col(approved).cast("double"), col(total).cast("double")), F.lit(0.0))
 
 
-def money(amount: str | Column, scale: int = 4) -> Column:
-    """Exact money for sums: DECIMAL(24, scale). NaN/inf become null (excluded)."""
-    return col(amount).try_cast(f"decimal(24,{scale})")
+MONEY_SCALE = 4  # money is summed exactly in integer units of 1e-4 USD
 
 
-def money_sum_to_double(summed: str | Column) -> Column:
-    """All-null sums are 0.0 (polars semantics); exact decimal then one cast."""
-    return F.coalesce(col(summed).cast("double"), F.lit(0.0))
+def money_units(amount: str | Column, scale: int = MONEY_SCALE) -> Column:
+    """Amount as a long count of 10^-scale units (exact, order-independent sums).
+
+    Long sums stay on Spark's fast aggregation path on raw rows; NaN/inf
+    become null and are left out of sums.
+    """
+    return F.round(col(amount) * F.lit(float(10 ** scale)), 0).try_cast("long")
+
+
+def money_units_to_double(units: str | Column, scale: int = MONEY_SCALE) -> Column:
+    """Summed units back to USD; an all-null sum is 0.0 (polars semantics)."""
+    return F.coalesce(col(units).cast("double") / F.lit(float(10 ** scale)), F.lit(0.0))
 
 
 def rate_band(rate: str | Column = "approval_rate") -> Column:

@@ -65,7 +65,8 @@ def diverse_top_k(scored: DataFrame, top_n: int = C.TOP_N) -> DataFrame:
     """
     key = F.col("segment_key")
     winners = (scored.groupBy("category")
-               .agg(F.min(F.struct((-F.col("score")).alias("neg_score"), key.alias("k"))).alias("w"))
+               .agg(F.min(F.struct((-F.col("score")).alias("neg_score"), key.isNull().alias("null_key"),
+                                   key.alias("k"))).alias("w"))
                .select(F.col("category").alias("_wc"), F.col("w.k").alias("_wk"), F.lit(True).alias("is_best")))
     marked = scored.join(F.broadcast(winners),
                          (scored.category == winners._wc) & key.eqNullSafe(winners._wk), "left") \
@@ -83,9 +84,20 @@ def insight_id(baseline: str | None = None, current: str | None = None):
 
 
 def rank_insights(anomalies: DataFrame, top_n: int = C.TOP_N, min_n: int = C.MIN_N,
-                  keep_score: bool = False) -> DataFrame:
-    """INSIGHT rows (at most ``top_n``)."""
-    ranked = diverse_top_k(score(candidates(anomalies, min_n)), top_n)
+                  keep_score: bool = False, materialize=None) -> DataFrame:
+    """INSIGHT rows (at most ``top_n``).
+
+    ``materialize`` (e.g. ``session.cut_lineage``) is applied to the scored
+    candidate set, which the top-k step reads three times.
+    """
+    scored = score(candidates(anomalies, min_n))
+    if materialize is not None:
+        scored = materialize(scored)
+    return insight_rows(diverse_top_k(scored, top_n), keep_score)
+
+
+def insight_rows(ranked: DataFrame, keep_score: bool = False) -> DataFrame:
+    """Id, title, description and severity of ranked rows."""
     out = ranked.withColumns({
         "insight_id": insight_id(),
         "title": insight_title(),

@@ -1,19 +1,24 @@
 """The approval-rate cube over segment definitions x periods.
 
-Plan (two shuffles, whatever the number of definitions and periods):
-
-1. base aggregate: ``groupBy`` the finest grain actually used by the
-   definitions (week + every dimension + a declined flag). Partial aggregation
-   runs map-side, so the shuffle carries at most one row per grain key per
-   task -- a hot key (a third of all rows) costs one row, not a third.
-2. period expansion: every base row feeds three periods (its week, its half,
-   'all') through ``explode``; this works on the small base, not on raw rows.
-3. ``groupingSets`` with one set per definition (period always included) and
-   ``grouping_id()`` naming the set. Counts and decimal sums are additive, so
-   rolling the base up is exact; rates are derived last.
+Plan (three shuffles whatever the number of definitions and periods; only the
+first one sees raw rows):
+
+1. base aggregate: ``groupBy`` the finest grain the definitions use (week +
+   every dimension + a declined flag). Partial aggregation runs map-side, so
+   the shuffle carries at most one row per grain key per task -- a hot key
+   holding a third of all rows costs one row, not a third. Money is summed as
+   long units (fast path).
+2. weekly cube: ``groupingSets`` over the base, one set per definition, each
+   with ``week_number``; ``grouping_id()`` names the set. This expands the
+   small base once per definition (not once per definition x period).
+3. halves and 'all': counts and sums are additive, so they are rolled up from
+   the weekly rows of step 2 (a table the size of the output) with a plain
+   ``groupBy``. Rates are derived last.
 
 Declined-only definitions group on the declined flag as well and keep the
-flag=true side, which equals filtering to declined rows first.
+flag=true side, which equals filtering to declined rows first. A null week
+is a group of its own in steps 1-2: it has no weekly period but counts in the
+second half and in 'all', as in the reference.
 """
 
 from __future__ import annotations
@@ -22,12 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import contracts as C
-from ..functions.columns import (half_labels, is_approved, money, money_sum_to_double,
+from ..functions.columns import (half_labels, is_approved, money_units, money_units_to_double,
                                  period_half, safe_rate, sql_literal, week_label)
 from .enrich import enrich
 
 DECLINED_FLAG = "_declined"
 WEEK = "week_number"
+MEASURES = ("n", "n_approved", "amount", "approved_amount")
 
 
 def _definitions(definitions, declined_only):
@@ -48,23 +54,17 @@ def _grain(defs) -> list[str]:
     return dims
 
 
-def base_aggregate(enriched: DataFrame, dims: list[str], scale: int = 4) -> DataFrame:
+def base_aggregate(enriched: DataFrame, dims: list[str]) -> DataFrame:
     """Additive measures at the grain ``dims`` + declined flag (one shuffle)."""
     approved = is_approved("status")
-    amount = money("amount_usd", scale)
+    units = money_units("amount_usd")
     return (enriched
             .withColumn(DECLINED_FLAG, F.col("decline_reason").isNotNull())
             .groupBy(*dims, DECLINED_FLAG)
             .agg(F.count(F.lit(1)).alias("n"),
                  F.count_if(approved).alias("n_approved"),
-                 F.sum(amount).alias("amount"),
-                 F.sum(F.when(approved, amount)).alias("approved_amount")))
-
-
-def expand_periods(base: DataFrame, split_week: int = C.SPLIT_WEEK, n_weeks: int = C.N_WEEKS) -> DataFrame:
-    """Each base row -> its week label, its half label and 'all' (null week: no week label)."""
-    periods = F.array(week_label(WEEK), period_half(WEEK, split_week, n_weeks), F.lit("all"))
-    return base.withColumn("period", F.explode(periods)).where(F.col("period").isNotNull())
+                 F.sum(units).alias("amount"),
+                 F.sum(F.when(approved, units)).alias("approved_amount")))
 
 
 def _ident(c: str) -> str:
@@ -72,7 +72,7 @@ def _ident(c: str) -> str:
 
 
 def _case_sql(per_type: dict[str, str]) -> Column:
-    """CASE segment_type WHEN ... as one SQL expression."""
+    """CASE segment_type WHEN ... as one SQL expression (one JVM call)."""
     whens = " ".join(f"WHEN {sql_literal(t)} THEN {expr}" for t, expr in per_type.items())
     return F.expr(f"CASE segment_type {whens} END")
 
@@ -88,39 +88,26 @@ def _key_sql(dims: list[str]) -> str:
     return "concat(" + ", '|', ".join(_dim_sql(d) for d in dims) + ")"
 
 
-def segment_cube(df: DataFrame, definitions: dict | None = None, declined_only: dict | None = None,
-                 split_week: int = C.SPLIT_WEEK, n_weeks: int = C.N_WEEKS,
-                 base: DataFrame | None = None) -> DataFrame:
-    """All segment rows (SEGMENT contract) for every definition and period.
+def _sum_wide(c: str) -> Column:
+    # the half / 'all' roll-up runs on output-sized rows: DECIMAL(38,0) cannot overflow
+    return F.sum(F.col(c).cast("decimal(38,0)"))
 
-    ``df`` is raw or enriched transactions; pass ``base`` (from
-    ``base_aggregate``) to reuse an already computed base.
-    """
-    defs = _definitions(definitions, declined_only)
-    dims = _grain(defs)
-    if base is None:
-        if "amount_bucket" not in df.columns or "hour_bucket" not in df.columns:
-            df = enrich(df, split_week, n_weeks)
-        base = base_aggregate(df, dims)
-    expanded = expand_periods(base, split_week, n_weeks)
 
-    group_cols = ["period"] + dims + [DECLINED_FLAG]
+def weekly_cube(base: DataFrame, defs) -> DataFrame:
+    """Step 2: one row per (segment type, its dimension values, week)."""
+    dims = _grain(defs)
+    group_cols = dims + [DECLINED_FLAG]
     sets: dict[int, list[str]] = {}
     types_by_gid: dict[int, list[str]] = {}
     for t, d, dec in defs:
-        members = {"period", *d} | ({DECLINED_FLAG} if dec else set())
+        members = {WEEK, *d} | ({DECLINED_FLAG} if dec else set())
         gid = sum(1 << (len(group_cols) - 1 - i) for i, c in enumerate(group_cols) if c not in members)
         sets[gid] = [c for c in group_cols if c in members]
         types_by_gid.setdefault(gid, []).append(t)
 
-    cube = (expanded
-            .groupingSets([[F.col(c) for c in s] for s in sets.values()], *group_cols)
-            .agg(F.sum("n").alias("total_transactions"),
-                 F.sum("n_approved").alias("approved_transactions"),
-                 F.sum("amount").alias("amount"),
-                 F.sum("approved_amount").alias("approved_amount"),
-                 F.grouping_id().alias("_gid")))
-
+    # long sums on the expanded base (fast path; ANSI mode raises on overflow)
+    cube = (base.groupingSets([[F.col(c) for c in s] for s in sets.values()], *group_cols)
+            .agg(*[F.sum(m).alias(m) for m in MEASURES], F.grouping_id().alias("_gid")))
     gid_map = ", ".join(f"{gid}, array({', '.join(sql_literal(t) for t in ts)})"
                         for gid, ts in types_by_gid.items())
     typed = cube.withColumn("segment_type", F.explode(F.expr(f"map({gid_map})[_gid]")))
@@ -129,25 +116,49 @@ def segment_cube(df: DataFrame, definitions: dict | None = None, declined_only:
         typed = typed.where(~F.col("segment_type").isin(declined_types) | F.col(DECLINED_FLAG))
 
     by_type = {t: d for t, d, _ in defs}
-    dim_cols = {}
-    for i in range(4):
-        dim_cols[f"dimension_{i + 1}"] = _case_sql(
-            {t: (_dim_sql(d[i]) if i < len(d) else "CAST(NULL AS STRING)") for t, d in by_type.items()})
-    out = typed.select(
-        F.col("segment_type"),
+    dim_cols = [_case_sql({t: (_dim_sql(d[i]) if i < len(d) else "CAST(NULL AS STRING)")
+                           for t, d in by_type.items()}).alias(f"dimension_{i + 1}") for i in range(4)]
+    return typed.select(
+        "segment_type",
         _case_sql({t: _key_sql(d) for t, d in by_type.items()}).alias("segment_key"),
-        *[c.alias(n) for n, c in dim_cols.items()],
-        F.col("period"),
-        F.col("total_transactions").cast("long").alias("total_transactions"),
-        F.col("approved_transactions").cast("long").alias("approved_transactions"),
-        (F.col("total_transactions") - F.col("approved_transactions")).cast("long").alias("declined_transactions"),
-        safe_rate("approved_transactions", "total_transactions").alias("approval_rate"),
-        money_sum_to_double("amount").alias("total_amount_usd"),
-        money_sum_to_double("approved_amount").alias("approved_amount_usd"),
-    )
+        *dim_cols, WEEK, *MEASURES)
+
+
+def _finish(df: DataFrame) -> DataFrame:
+    out = df.select(
+        "segment_type", "segment_key", "dimension_1", "dimension_2", "dimension_3", "dimension_4", "period",
+        F.col("n").cast("long").alias("total_transactions"),
+        F.col("n_approved").cast("long").alias("approved_transactions"),
+        (F.col("n") - F.col("n_approved")).cast("long").alias("declined_transactions"),
+        safe_rate("n_approved", "n").alias("approval_rate"),
+        money_units_to_double("amount").alias("total_amount_usd"),
+        money_units_to_double("approved_amount").alias("approved_amount_usd"))
     return C.conform(out, C.SEGMENT)
 
 
+def segment_cube(df: DataFrame, definitions: dict | None = None, declined_only: dict | None = None,
+                 split_week: int = C.SPLIT_WEEK, n_weeks: int = C.N_WEEKS,
+                 base: DataFrame | None = None) -> DataFrame:
+    """All segment rows (SEGMENT contract) for every definition and period.
+
+    ``df`` is raw or enriched transactions; pass ``base`` (from
+    ``base_aggregate``) to reuse an already computed base.
+    """
+    defs = _definitions(definitions, declined_only)
+    if base is None:
+        if "amount_bucket" not in df.columns or "hour_bucket" not in df.columns:
+            df = enrich(df, split_week, n_weeks)
+        base = base_aggregate(df, _grain(defs))
+    weekly = weekly_cube(base, defs)
+    keys = ["segment_type", "segment_key", "dimension_1", "dimension_2", "dimension_3", "dimension_4"]
+    by_week = weekly.where(F.col(WEEK).isNotNull()).withColumn("period", week_label(WEEK))
+    rolled = (weekly
+              .withColumn("period", F.explode(F.array(period_half(WEEK, split_week, n_weeks), F.lit("all"))))
+              .groupBy(*keys, "period")
+              .agg(*[_sum_wide(m).alias(m) for m in MEASURES]))
+    return _finish(by_week.select(*keys, "period", *MEASURES).unionByName(rolled))
+
+
 def segment_by(df: DataFrame, dims: list[str], where: Column | None = None, name: str = "drill",
                declined_only: bool = False, split_week: int = C.SPLIT_WEEK,
                n_weeks: int = C.N_WEEKS) -> DataFrame:

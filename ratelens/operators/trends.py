@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import contracts as C
-from ..functions.columns import (approved_flag, is_approved, money, money_sum_to_double, pattern_flags,
+from ..functions.columns import (approved_flag, is_approved, money_units, money_units_to_double, pattern_flags,
                                  period_half, safe_rate)
 
 
@@ -19,10 +19,10 @@ def weekly_trends(df: DataFrame) -> DataFrame:
     out = (df.groupBy("week_number")
            .agg(F.count(F.lit(1)).alias("total_transactions"),
                 F.count_if(is_approved()).alias("approved_transactions"),
-                F.sum(money("amount_usd")).alias("_amount"))
+                F.sum(money_units("amount_usd")).alias("_amount"))
            .select("week_number", "total_transactions", "approved_transactions",
                    safe_rate("approved_transactions", "total_transactions").alias("approval_rate"),
-                   money_sum_to_double("_amount").alias("total_amount_usd")))
+                   money_units_to_double("_amount").alias("total_amount_usd")))
     return C.conform(out, C.WEEKLY_TREND).orderBy("week_number")
 
 

@@ -102,9 +102,9 @@ def raw_e_cte() -> str:
 def raw_l_cte() -> str:
     div = B.LINEITEM_PRICE_DIVISOR
     usd = f"(CAST((CAST(round(l.l_extendedprice * 100) AS BIGINT) + {div // 2}) // {div} AS DOUBLE) / CAST(100 AS DOUBLE))"
-    tid = ("md5(concat_ws('|', CAST(l.l_orderkey AS VARCHAR), CAST(l.l_linenumber AS VARCHAR), "
+    tid = ("concat_ws('|', CAST(l.l_orderkey AS VARCHAR), CAST(l.l_linenumber AS VARCHAR), "
            "CAST(l.l_partkey AS VARCHAR), CAST(l.l_suppkey AS VARCHAR), "
-           "CAST(CAST(trunc(l.l_quantity) AS BIGINT) AS VARCHAR)))")
+           "CAST(CAST(trunc(l.l_quantity) AS BIGINT) AS VARCHAR))")
     return f"""raw AS (
   SELECT {tid} AS transaction_id,
          CAST(l.l_shipdate AS TIMESTAMP) AS timestamp,
@@ -156,12 +156,17 @@ def base_ctes(b: str = "E", enriched: bool = True) -> list[str]:
 
 # --------------------------------------------------------------------------- segments
 
+def money_sum(x: str) -> str:
+    """Exact sum in 1e-4 USD units, then USD; 0.0 when nothing to sum."""
+    return f"COALESCE(CAST(sum(TRY_CAST(round(({x}) * CAST(10000.0 AS DOUBLE)) AS BIGINT)) AS DOUBLE) / CAST(10000.0 AS DOUBLE), 0.0)"
+
+
 MEASURES = f"""count(*) AS total_transactions,
     count(*) FILTER (WHERE status = 'approved') AS approved_transactions,
     count(*) - count(*) FILTER (WHERE status = 'approved') AS declined_transactions,
     CAST(count(*) FILTER (WHERE status = 'approved') AS DOUBLE) / CAST(count(*) AS DOUBLE) AS approval_rate,
-    COALESCE(CAST(sum(TRY_CAST(amount_usd AS DECIMAL(24,4))) AS DOUBLE), 0.0) AS total_amount_usd,
-    COALESCE(CAST(sum(CASE WHEN status = 'approved' THEN TRY_CAST(amount_usd AS DECIMAL(24,4)) END) AS DOUBLE), 0.0) AS approved_amount_usd"""
+    {money_sum('amount_usd')} AS total_amount_usd,
+    {money_sum("CASE WHEN status = 'approved' THEN amount_usd END")} AS approved_amount_usd"""
 
 
 def _seg_select(t: str, dims: list[str], declined: bool, kind: str, src: str) -> str:
@@ -343,7 +348,7 @@ def trend_cte(src: str = "raw") -> str:
     return f"""trend AS (
   SELECT week_number, count(*) AS total_transactions, count(*) FILTER (WHERE status = 'approved') AS approved_transactions,
          {safe_rate("count(*) FILTER (WHERE status = 'approved')", 'count(*)')} AS approval_rate,
-         COALESCE(CAST(sum(TRY_CAST(amount_usd AS DECIMAL(24,4))) AS DOUBLE), 0.0) AS total_amount_usd
+         {money_sum('amount_usd')} AS total_amount_usd
   FROM {src} GROUP BY week_number)"""
 
 

@@ -55,18 +55,24 @@ def _enriched(spark, sf_dir, b="E") -> DataFrame:
     return enrich(_raw(spark, sf_dir, b))
 
 
-def _segments(spark, sf_dir, b="E") -> DataFrame:
-    # the segment layer is small (bounded by dimension cardinality) and feeds
-    # several scalar subqueries downstream: materialise it once, reliably
-    return cut_lineage(S.segment_cube(_enriched(spark, sf_dir, b)))
+# Layer boundaries. The segment and anomaly layers are small (bounded by
+# dimension cardinality) and are read several times downstream (scalar
+# subqueries, joins), so a plan that consumes them materialises them once
+# under the shared checkpoint folder -- the reference's file hand-off between
+# stages. A query whose result *is* the layer does not.
 
+def _segments(spark, sf_dir, b="E", materialize=True) -> DataFrame:
+    seg = S.segment_cube(_enriched(spark, sf_dir, b))
+    return cut_lineage(seg, "segments") if materialize else seg
 
-def _anomalies(spark, sf_dir, b="E", **kw) -> DataFrame:
-    return cut_lineage(A.detect_anomalies(_segments(spark, sf_dir, b), **kw))
+
+def _anomalies(spark, sf_dir, b="E", materialize=True, **kw) -> DataFrame:
+    an = A.detect_anomalies(_segments(spark, sf_dir, b), **kw)
+    return cut_lineage(an, "anomalies") if materialize else an
 
 
 def _insights(spark, sf_dir, b="E", keep_score=False) -> DataFrame:
-    return I.rank_insights(_anomalies(spark, sf_dir, b), keep_score=keep_score)
+    return I.rank_insights(_anomalies(spark, sf_dir, b), keep_score=keep_score, materialize=cut_lineage)
 
 
 def _round_anomalies(df: DataFrame) -> DataFrame:
@@ -116,7 +122,7 @@ def q_half_period_rate(spark, d, b="E"):
 
 
 def q_segments_all(spark, d, b="E"):
-    return _segments(spark, d, b)
+    return _segments(spark, d, b, materialize=False)
 
 
 def q_segment_drill_4d(spark, d):
@@ -153,7 +159,7 @@ def q_period_join(spark, d, b="E"):
 
 
 def q_zscore(spark, d, b="E"):
-    a = _anomalies(spark, d, b)
+    a = _anomalies(spark, d, b, materialize=False)
     return a.select("segment_key", "rate_change", r6("z_score").alias("z_score"))
 
 
@@ -165,11 +171,11 @@ def q_ztest_pvalue(spark, d, b="E"):
 
 
 def q_anomalies(spark, d, b="E"):
-    return _round_anomalies(_anomalies(spark, d, b))
+    return _round_anomalies(_anomalies(spark, d, b, materialize=False))
 
 
 def q_anomalies_excl(spark, d, b="E"):
-    return _round_anomalies(_anomalies(spark, d, b, exclude_types=A.ARTEFACT_TYPES))
+    return _round_anomalies(_anomalies(spark, d, b, materialize=False, exclude_types=A.ARTEFACT_TYPES))
 
 
 def q_anomaly_fallback(spark, d, b="E"):
@@ -207,7 +213,7 @@ def q_severity_counts(spark, d, b="E"):
 
 def q_summary(spark, d, b="E"):
     a = _anomalies(spark, d, b)
-    return I.summary(a, I.rank_insights(a), with_timestamp=False)
+    return I.summary(a, I.rank_insights(a, materialize=cut_lineage), with_timestamp=False)
 
 
 def q_first_time_vs_returning(spark, d, b="E"):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,13 @@ RECOMMENDED_CONF = {
     "spark.sql.ansi.enabled": "true",
 }
 
+# Local-only: the test tables are a few MB, so AQE's default 1 MB minimum
+# would coalesce a shuffle into 2-3 tasks on 8 cores. On a cluster the
+# shuffles are large and the defaults apply.
+LOCAL_CONF = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
+}
+
 
 def get_spark(app: str = "ratelens", cpus: int | str | None = None,
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
@@ -26,7 +34,7 @@ def get_spark(app: str = "ratelens", cpus: int | str | None = None,
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
                .config("spark.driver.memory", os.environ.get("RATELENS_DRIVER_MEMORY", "8g"))
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus)))
-    for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
+    for k, v in {**RECOMMENDED_CONF, **LOCAL_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -34,19 +42,42 @@ def get_spark(app: str = "ratelens", cpus: int | str | None = None,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the shared folder the cluster names in ``spark.checkpoint.dir``.
+def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) is a private folder set.
+    Only when the setting is absent (local tests, the bench) is a private
+    folder created and registered.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    path = configured or fallback or tempfile.mkdtemp(prefix="ratelens-ckpt-")
+    if configured:
+        return configured.rstrip("/")
+    global _LOCAL_ROOT
+    if _LOCAL_ROOT is None:
+        _LOCAL_ROOT = fallback or tempfile.mkdtemp(prefix="ratelens-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", _LOCAL_ROOT)
+    return _LOCAL_ROOT
+
+
+_LOCAL_ROOT: str | None = None
+
+
+def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
+    """Point RDD checkpoints at the shared checkpoint folder; returns it."""
+    path = checkpoint_root(spark, fallback)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "layer") -> DataFrame:
+    """Materialise ``df`` once as a parquet table under the shared checkpoint
+    folder and return a scan of it.
+
+    Used for small intermediate layers (segments, anomalies) that several
+    downstream subqueries read: the plan above is computed exactly once (a
+    plain ``checkpoint()`` computes an uncached plan twice), the result
+    survives executor loss, and the read-back is a pruned columnar scan.
+    """
+    path = f"{checkpoint_root(df.sparkSession)}/layers/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
