@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .. import contracts as C
 from ..functions.columns import half_labels, lookup
 from ..functions.stats import standardize, two_proportion_p_value
+from ..session import cut_lineage
 
 # Types that are artefacts of the cube for the period comparison (see README).
 ARTEFACT_TYPES = ("time_weekly", "decline_reason", "country_decline_reason")
@@ -64,16 +65,24 @@ def compare_periods(segments: DataFrame, baseline: str | None = None, current: s
 def detect_anomalies(segments: DataFrame, exclude_types: tuple[str, ...] = (),
                      weeks_per_period: float = C.WEEKS_PER_PERIOD, weeks_per_month: float = C.WEEKS_PER_MONTH,
                      z_threshold: float = C.ANOMALY_Z, p_threshold: float = C.ANOMALY_P,
-                     min_affected: int = C.ANOMALY_MIN_AFFECTED, keep_measures: bool = False) -> DataFrame:
+                     min_affected: int = C.ANOMALY_MIN_AFFECTED, keep_measures: bool = False,
+                     materialize=cut_lineage) -> DataFrame:
     """ANOMALY rows for every baseline segment.
 
     By default the cube's artefact rows (time_weekly keys that exist in one
     half only, declined-only types with rate 0) stay in, as in the reference:
     they enter the mean/std of the z-score. ``exclude_types=ARTEFACT_TYPES``
     drops them.
+
+    The compared table (one row per segment key, bounded by the dimensions'
+    cardinality) is read twice -- by the mean/std subquery and by the scoring
+    -- so it is materialised once (``materialize``, default a parquet table
+    in the shared checkpoint folder; ``None`` keeps the plan lazy).
     """
     joined = compare_periods(segments, exclude_types=exclude_types) \
         .withColumn("rate_change", F.col("current_rate") - F.col("baseline_rate"))
+    if materialize is not None:
+        joined = materialize(joined)
     stats = joined.agg(F.struct(F.avg("rate_change").alias("mean"),
                                 F.stddev_pop("rate_change").alias("std")).alias("s")).scalar()
     affected = F.col("current_total")

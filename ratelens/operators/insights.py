@@ -15,6 +15,7 @@ from .. import contracts as C
 from ..functions.columns import half_labels, lookup, severity
 from ..functions.stats import min_max_normalise
 from ..functions.text import insight_description, insight_title
+from ..session import cut_lineage
 
 IMPACT = "estimated_revenue_impact_usd"
 
@@ -84,13 +85,18 @@ def insight_id(baseline: str | None = None, current: str | None = None):
 
 
 def rank_insights(anomalies: DataFrame, top_n: int = C.TOP_N, min_n: int = C.MIN_N,
-                  keep_score: bool = False, materialize=None) -> DataFrame:
+                  keep_score: bool = False, materialize=cut_lineage) -> DataFrame:
     """INSIGHT rows (at most ``top_n``).
 
-    ``materialize`` (e.g. ``session.cut_lineage``) is applied to the scored
-    candidate set, which the top-k step reads three times.
+    The candidate set (read by the score bounds and the scoring) and the
+    scored set (read three times by the top-k) are small; ``materialize``
+    (default: a parquet table in the shared checkpoint folder; ``None`` keeps
+    the plan lazy) writes each once instead of re-running its plan per read.
     """
-    scored = score(candidates(anomalies, min_n))
+    cands = candidates(anomalies, min_n)
+    if materialize is not None:
+        cands = materialize(cands)
+    scored = score(cands)
     if materialize is not None:
         scored = materialize(scored)
     return insight_rows(diverse_top_k(scored, top_n), keep_score)

@@ -7,7 +7,7 @@ to discover pivot values.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import contracts as C
@@ -88,19 +88,21 @@ def waterfall(enriched: DataFrame, **pattern_params) -> DataFrame:
     per = (enriched.groupBy(factor.alias("factor"))
            .agg(F.count_if(half == early).alias("nb"), F.count_if((half == early) & ok).alias("ab"),
                 F.count_if(half == late).alias("nc"), F.count_if((half == late) & ok).alias("ac")))
-    totals = per.agg(F.struct(F.sum("nb").alias("nb"), F.sum("ab").alias("ab"),
-                              F.sum("nc").alias("nc"), F.sum("ac").alias("ac"))).scalar()
-    rb_all = safe_rate(totals.getField("ab"), totals.getField("nb"))
-    rc_all = safe_rate(totals.getField("ac"), totals.getField("nc"))
-    wb = safe_rate("nb", totals.getField("nb"))
-    wc = safe_rate("nc", totals.getField("nc"))
+    # `per` has at most one row per factor of the fixed list (4), so the
+    # totals are a window over that bounded table -- no second scan of the rows
+    everything = Window.partitionBy()
+    per = per.withColumns({f"t{c}": F.sum(c).over(everything) for c in ("nb", "ab", "nc", "ac")})
+    rb_all = safe_rate("tab", "tnb")
+    rc_all = safe_rate("tac", "tnc")
+    wb = safe_rate("nb", "tnb")
+    wc = safe_rate("nc", "tnc")
     rb = safe_rate("ab", "nb")
     rc = safe_rate("ac", "nc")
     contrib = ((wb + wc) / 2 * (rc - rb) + (wc - wb) * ((rb + rc) / 2 - (rb_all + rc_all) / 2)) * 100.0
     factors = per.select(
         F.col("factor"), F.lit("relative").alias("measure"), contrib.alias("contribution_pp"),
         (F.array_position(F.array(*[F.lit(f) for f in FACTORS]), F.col("factor")).cast("int")).alias("step"))
-    ends = per.agg(F.count(F.lit(1)).alias("_n")).select(
+    ends = per.groupBy("tnb", "tab", "tnc", "tac").agg(F.count(F.lit(1)).alias("_n")).select(
         F.explode(F.array(
             F.struct(F.lit("Baseline").alias("factor"), F.lit("absolute").alias("measure"),
                      (rb_all * 100.0).alias("contribution_pp"), F.lit(0).alias("step")),

@@ -67,12 +67,12 @@ def _segments(spark, sf_dir, b="E", materialize=True) -> DataFrame:
 
 
 def _anomalies(spark, sf_dir, b="E", materialize=True, **kw) -> DataFrame:
-    an = A.detect_anomalies(_segments(spark, sf_dir, b), **kw)
-    return cut_lineage(an, "anomalies") if materialize else an
+    # detect_anomalies materialises its (small) compared table itself
+    return A.detect_anomalies(_segments(spark, sf_dir, b, materialize=materialize), **kw)
 
 
 def _insights(spark, sf_dir, b="E", keep_score=False) -> DataFrame:
-    return I.rank_insights(_anomalies(spark, sf_dir, b), keep_score=keep_score, materialize=cut_lineage)
+    return I.rank_insights(_anomalies(spark, sf_dir, b), keep_score=keep_score)
 
 
 def _round_anomalies(df: DataFrame) -> DataFrame:
@@ -213,7 +213,7 @@ def q_severity_counts(spark, d, b="E"):
 
 def q_summary(spark, d, b="E"):
     a = _anomalies(spark, d, b)
-    return I.summary(a, I.rank_insights(a, materialize=cut_lineage), with_timestamp=False)
+    return I.summary(a, I.rank_insights(a), with_timestamp=False)
 
 
 def q_first_time_vs_returning(spark, d, b="E"):

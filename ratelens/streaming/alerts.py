@@ -26,8 +26,14 @@ WATERMARK = "2 hours"
 _TS_FMT = "yyyy-MM-dd HH:mm:ss"
 
 
+def with_event_time(df: DataFrame) -> DataFrame:
+    """Watermarks need TIMESTAMP; the contract's wall-clock TIMESTAMP_NTZ is read in the
+    session time zone (UTC in our jobs), so window bounds print as the wall clock."""
+    return df.withColumn("event_time", F.col("timestamp").cast("timestamp"))
+
+
 def _alerts(df: DataFrame, window: str, slide: str, threshold: float, min_n: int, dims) -> DataFrame:
-    agg = (df.groupBy(F.window("timestamp", window, slide).alias("w"), *dims)
+    agg = (df.groupBy(F.window("event_time", window, slide).alias("w"), *dims)
            .agg(F.count(F.lit(1)).alias("total_transactions"),
                 F.count_if(is_approved()).alias("approved_transactions")))
     rate = F.col("approved_transactions").cast("double") / F.col("total_transactions").cast("double")
@@ -41,13 +47,15 @@ def _alerts(df: DataFrame, window: str, slide: str, threshold: float, min_n: int
 def alert_windows_batch(df: DataFrame, window: str = WINDOW, slide: str = SLIDE, threshold: float = THRESHOLD,
                         min_n: int = MIN_N, dims=DIMS) -> DataFrame:
     """Batch equivalent over a bounded table of raw transactions."""
-    return _alerts(df.where(F.col("timestamp").isNotNull()), window, slide, threshold, min_n, list(dims))
+    return _alerts(with_event_time(df.where(F.col("timestamp").isNotNull())), window, slide, threshold, min_n,
+                   list(dims))
 
 
 def alert_stream(stream: DataFrame, window: str = WINDOW, slide: str = SLIDE, threshold: float = THRESHOLD,
                  min_n: int = MIN_N, dims=DIMS, watermark: str = WATERMARK) -> DataFrame:
     """Streaming alerts over a stream of raw transactions (append mode)."""
-    return _alerts(stream.withWatermark("timestamp", watermark), window, slide, threshold, min_n, list(dims))
+    return _alerts(with_event_time(stream).withWatermark("event_time", watermark), window, slide, threshold, min_n,
+                   list(dims))
 
 
 def read_transactions_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
