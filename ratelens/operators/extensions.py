@@ -8,22 +8,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import contracts as C
 from ..functions.columns import half_labels, is_approved, period_half, safe_rate
+from ..session import cut_lineage
 
 
-def time_bucket_rates(df: DataFrame, unit: str = "hour", dims: list[str] | None = None) -> DataFrame:
-    """Approval rate per hour/day bucket (and optional dims)."""
+def time_bucket_rates(df: DataFrame, units: str | tuple[str, ...] = ("hour", "day"),
+                      dims: list[str] | None = None) -> DataFrame:
+    """Approval rate per hour / day bucket (and optional dims), all units in one scan.
+
+    Each row feeds one bucket per unit through ``explode``; partial
+    aggregation collapses them before the single shuffle.
+    """
+    units = (units,) if isinstance(units, str) else tuple(units)
     fmt = "yyyy-MM-dd HH:mm:ss"
-    bucket = F.date_format(F.date_trunc(unit, F.col("timestamp")), fmt).alias("bucket")
-    return (df.groupBy(bucket, *(dims or []))
+    per_unit = F.array(*[F.struct(F.lit(u).alias("granularity"),
+                                  F.date_format(F.date_trunc(u, F.col("timestamp")), fmt).alias("bucket"))
+                         for u in units])
+    return (df.select(F.explode(per_unit).alias("_u"), *(dims or []), "status")
+            .groupBy(F.col("_u.granularity").alias("granularity"), F.col("_u.bucket").alias("bucket"), *(dims or []))
             .agg(F.count(F.lit(1)).alias("total_transactions"),
                  F.count_if(is_approved()).alias("approved_transactions"))
-            .withColumn("approval_rate", safe_rate("approved_transactions", "total_transactions"))
-            .withColumn("granularity", F.lit(unit)))
+            .withColumn("approval_rate", safe_rate("approved_transactions", "total_transactions")))
 
 
-def risk_score(df: DataFrame, dims: list[str] | None = None, alpha: float = 20.0) -> DataFrame:
+def risk_score(df: DataFrame, dims: list[str] | None = None, alpha: float = 20.0,
+               materialize=cut_lineage) -> DataFrame:
     """Risk of each current-half transaction from its segment's baseline history.
 
     Baseline approval per segment is smoothed towards the overall baseline rate
@@ -36,10 +45,14 @@ def risk_score(df: DataFrame, dims: list[str] | None = None, alpha: float = 20.0
     dims = dims or ["country", "issuer_bank", "card_brand", "card_type"]
     early, late = half_labels()
     half = period_half("week_number")
-    base_rows = df.where(half == early)
-    prior = base_rows.agg(safe_rate(F.count_if(is_approved()), F.count(F.lit(1)))).scalar()
-    hist = (base_rows.groupBy(*dims)
+    hist = (df.where(half == early).groupBy(*dims)
             .agg(F.count(F.lit(1)).alias("hist_n"), F.count_if(is_approved()).alias("hist_approved")))
+    # the history table (bounded by dimension cardinality) is read twice: by the
+    # prior and by the join; materialise it so the rows are scanned once for it
+    if materialize is not None:
+        hist = materialize(hist)
+    # the overall baseline rate comes from the (small) history table, not a re-scan
+    prior = hist.agg(safe_rate(F.sum("hist_approved"), F.sum("hist_n"))).scalar()
     cur = df.where(half == late).select("transaction_id", *dims, "status")
     joined = cur.join(hist, [cur[d].eqNullSafe(hist[d]) for d in dims], "left").select(
         "transaction_id", *[cur[d] for d in dims], "status",
@@ -48,5 +61,3 @@ def risk_score(df: DataFrame, dims: list[str] | None = None, alpha: float = 20.0
     smoothed = (F.col("hist_approved") + F.lit(alpha) * prior) / (F.col("hist_n") + F.lit(alpha))
     return joined.withColumns({"expected_approval": smoothed, "risk_score": F.lit(1.0) - smoothed})
 
-
-__all__ = ["time_bucket_rates", "risk_score", "C"]

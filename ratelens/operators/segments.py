@@ -11,9 +11,9 @@ first one sees raw rows):
 2. weekly cube: ``groupingSets`` over the base, one set per definition, each
    with ``week_number``; ``grouping_id()`` names the set. This expands the
    small base once per definition (not once per definition x period).
-3. halves and 'all': counts and sums are additive, so they are rolled up from
-   the weekly rows of step 2 (a table the size of the output) with a plain
-   ``groupBy``. Rates are derived last.
+3. periods: counts and sums are additive, so each weekly row of step 2 (a
+   table the size of the output) feeds its week, its half and 'all' and one
+   plain ``groupBy`` rolls them up. Rates are derived last.
 
 Declined-only definitions group on the declined flag as well and keep the
 flag=true side, which equals filtering to declined rows first. A null week
@@ -151,12 +151,16 @@ def segment_cube(df: DataFrame, definitions: dict | None = None, declined_only:
         base = base_aggregate(df, _grain(defs))
     weekly = weekly_cube(base, defs)
     keys = ["segment_type", "segment_key", "dimension_1", "dimension_2", "dimension_3", "dimension_4"]
-    by_week = weekly.where(F.col(WEEK).isNotNull()).withColumn("period", week_label(WEEK))
-    rolled = (weekly
-              .withColumn("period", F.explode(F.array(period_half(WEEK, split_week, n_weeks), F.lit("all"))))
+    # one branch: every weekly row feeds its week (none for a null week), its
+    # half and 'all'. (A union of a weekly branch and a roll-up branch would
+    # read the raw rows twice: the week filter is pushed below the base
+    # aggregate, so the two branches no longer share its shuffle.)
+    periods = F.array(week_label(WEEK), period_half(WEEK, split_week, n_weeks), F.lit("all"))
+    rolled = (weekly.withColumn("period", F.explode(periods))
+              .where(F.col("period").isNotNull())
               .groupBy(*keys, "period")
               .agg(*[_sum_wide(m).alias(m) for m in MEASURES]))
-    return _finish(by_week.select(*keys, "period", *MEASURES).unionByName(rolled))
+    return _finish(rolled)
 
 
 def segment_by(df: DataFrame, dims: list[str], where: Column | None = None, name: str = "drill",

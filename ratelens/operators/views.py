@@ -85,13 +85,16 @@ def waterfall(enriched: DataFrame, **pattern_params) -> DataFrame:
     early, late = half_labels()
     half = period_half("week_number")
     ok = is_approved()
-    per = (enriched.groupBy(factor.alias("factor"))
+    # one scan, one branch: grouping sets give the factor rows and the total row
+    per = (enriched.withColumn("factor", factor)
+           .groupingSets([[F.col("factor")], []], "factor")
            .agg(F.count_if(half == early).alias("nb"), F.count_if((half == early) & ok).alias("ab"),
-                F.count_if(half == late).alias("nc"), F.count_if((half == late) & ok).alias("ac")))
-    # `per` has at most one row per factor of the fixed list (4), so the
-    # totals are a window over that bounded table -- no second scan of the rows
+                F.count_if(half == late).alias("nc"), F.count_if((half == late) & ok).alias("ac"),
+                F.grouping_id().alias("_total")))
+    # at most 5 rows (4 fixed factors + the total): the totals are a window over them
     everything = Window.partitionBy()
-    per = per.withColumns({f"t{c}": F.sum(c).over(everything) for c in ("nb", "ab", "nc", "ac")})
+    per = per.withColumns({f"t{c}": F.max(F.when(F.col("_total") == 1, F.col(c))).over(everything)
+                           for c in ("nb", "ab", "nc", "ac")})
     rb_all = safe_rate("tab", "tnb")
     rc_all = safe_rate("tac", "tnc")
     wb = safe_rate("nb", "tnb")
@@ -99,17 +102,16 @@ def waterfall(enriched: DataFrame, **pattern_params) -> DataFrame:
     rb = safe_rate("ab", "nb")
     rc = safe_rate("ac", "nc")
     contrib = ((wb + wc) / 2 * (rc - rb) + (wc - wb) * ((rb + rc) / 2 - (rb_all + rc_all) / 2)) * 100.0
-    factors = per.select(
-        F.col("factor"), F.lit("relative").alias("measure"), contrib.alias("contribution_pp"),
-        (F.array_position(F.array(*[F.lit(f) for f in FACTORS]), F.col("factor")).cast("int")).alias("step"))
-    ends = per.groupBy("tnb", "tab", "tnc", "tac").agg(F.count(F.lit(1)).alias("_n")).select(
-        F.explode(F.array(
-            F.struct(F.lit("Baseline").alias("factor"), F.lit("absolute").alias("measure"),
-                     (rb_all * 100.0).alias("contribution_pp"), F.lit(0).alias("step")),
-            F.struct(F.lit("Current").alias("factor"), F.lit("total").alias("measure"),
-                     (rc_all * 100.0).alias("contribution_pp"), F.lit(len(FACTORS) + 1).alias("step")))
-        ).alias("s")).select("s.*")
-    return factors.unionByName(ends).orderBy("step")
+    step = F.array_position(F.array(*[F.lit(f) for f in FACTORS]), F.col("factor")).cast("int")
+    rows = F.when(F.col("_total") == 0, F.array(
+        F.struct(F.col("factor"), F.lit("relative").alias("measure"), contrib.alias("contribution_pp"),
+                 step.alias("step")))
+    ).otherwise(F.array(
+        F.struct(F.lit("Baseline").alias("factor"), F.lit("absolute").alias("measure"),
+                 (rb_all * 100.0).alias("contribution_pp"), F.lit(0).alias("step")),
+        F.struct(F.lit("Current").alias("factor"), F.lit("total").alias("measure"),
+                 (rc_all * 100.0).alias("contribution_pp"), F.lit(len(FACTORS) + 1).alias("step"))))
+    return per.select(F.explode(rows).alias("s")).select("s.*").orderBy("step")
 
 
 def amount_box(enriched: DataFrame, exact: bool = True, accuracy: int = 10000) -> DataFrame:

@@ -67,8 +67,18 @@ def _segments(spark, sf_dir, b="E", materialize=True) -> DataFrame:
 
 
 def _anomalies(spark, sf_dir, b="E", materialize=True, **kw) -> DataFrame:
-    # detect_anomalies materialises its (small) compared table itself
-    return A.detect_anomalies(_segments(spark, sf_dir, b, materialize=materialize), **kw)
+    # detect_anomalies materialises its (small) compared table itself; the
+    # anomaly layer is written too when something downstream reads it again
+    an = A.detect_anomalies(_segments(spark, sf_dir, b, materialize=materialize), **kw)
+    return cut_lineage(an, "anomalies") if materialize else an
+
+
+def _candidates(spark, sf_dir, b="E", min_n=C.MIN_N) -> DataFrame:
+    return cut_lineage(I.candidates(_anomalies(spark, sf_dir, b), min_n), "candidates")
+
+
+def _scored(spark, sf_dir, b="E") -> DataFrame:
+    return cut_lineage(I.score(_candidates(spark, sf_dir, b)), "scored")
 
 
 def _insights(spark, sf_dir, b="E", keep_score=False) -> DataFrame:
@@ -184,14 +194,14 @@ def q_anomaly_fallback(spark, d, b="E"):
 
 
 def q_insight_scores(spark, d, b="E"):
-    s = I.score(I.candidates(_anomalies(spark, d, b)))
+    s = I.score(_candidates(spark, d, b))
     return s.select("segment_key", "segment_type", "category", "specificity",
                     r6("impact_norm").alias("impact_norm"), r6("magnitude_norm").alias("magnitude_norm"),
                     r6("significance_norm").alias("significance_norm"), r6("score").alias("score"))
 
 
 def q_diverse_topk(spark, d, b="E"):
-    k = I.diverse_top_k(I.score(I.candidates(_anomalies(spark, d, b))))
+    k = I.diverse_top_k(_scored(spark, d, b))
     return k.select("rank", "segment_key", "segment_type", "category", "is_best", r6("score").alias("score"))
 
 
@@ -201,7 +211,7 @@ def q_insights(spark, d, b="E"):
 
 def q_insight_text(spark, d, b="E"):
     # the text builders on every candidate row (not only the top-k)
-    c = I.candidates(_anomalies(spark, d, b))
+    c = _candidates(spark, d, b)
     return c.select("segment_key", insight_title().alias("title"), insight_description().alias("description"),
                     severity("estimated_revenue_impact_usd").alias("severity"))
 
@@ -271,8 +281,7 @@ def q_insight_cards(spark, d, b="E"):
 
 
 def q_hourly_daily_rates(spark, d, b="E"):
-    raw = _raw(spark, d, b)
-    return X.time_bucket_rates(raw, "hour").unionByName(X.time_bucket_rates(raw, "day"))
+    return X.time_bucket_rates(_raw(spark, d, b), ("hour", "day"))
 
 
 def q_risk_score(spark, d, b="E"):
