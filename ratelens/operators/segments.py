@@ -3,14 +3,16 @@
 Plan (three shuffles whatever the number of definitions and periods; only the
 first one sees raw rows):
 
-1. base aggregate: ``groupBy`` the finest grain the definitions use (week +
-   every dimension + a declined flag). Partial aggregation runs map-side, so
-   the shuffle carries at most one row per grain key per task -- a hot key
-   holding a third of all rows costs one row, not a third. Money is summed as
-   long units (fast path).
-2. weekly cube: ``groupingSets`` over the base, one set per definition, each
-   with ``week_number``; ``grouping_id()`` names the set. This expands the
-   small base once per definition (not once per definition x period).
+1. base aggregate: the definitions are grouped into clusters by their maximal
+   dimension sets (a definition whose dimensions are a subset of another's is
+   served by that one's grain), and one ``groupingSets`` over the raw rows
+   computes week + cluster dims + declined flag for each cluster. Partial
+   aggregation runs map-side with small hash tables, so the shuffle carries at
+   most one row per grain key per task -- a hot key holding a third of all
+   rows costs one row, not a third. Money is summed as long units (fast path).
+2. weekly cube: ``groupingSets`` over the small base, one set per definition
+   (each with the week and the cluster id), named by ``grouping_id()``; a
+   definition keeps only its own cluster's rows.
 3. periods: counts and sums are additive, so each weekly row of step 2 (a
    table the size of the output) feeds its week, its half and 'all' and one
    plain ``groupBy`` rolls them up. Rates are derived last.
@@ -54,17 +56,47 @@ def _grain(defs) -> list[str]:
     return dims
 
 
-def base_aggregate(enriched: DataFrame, dims: list[str]) -> DataFrame:
-    """Additive measures at the grain ``dims`` + declined flag (one shuffle)."""
+def clusters(defs) -> tuple[list[list[str]], dict[str, int]]:
+    """Maximal dimension sets of the definitions, and each type's cluster.
+
+    A definition whose dimensions are a subset of another's is computed from
+    that one's base, so the base has one small grain per maximal set (e.g.
+    {country, issuer, brand, type}, {amount_bucket}, {hour_bucket},
+    {country, decline_reason}) instead of the product of all dimensions.
+    """
+    order = _grain(defs)
+    sets = [(t, frozenset(d) - {WEEK}) for t, d, _ in defs]  # every grain has the week
+    maximal: list[frozenset] = []
+    for _, ds in sorted(sets, key=lambda x: (-len(x[1]), sorted(x[1]))):
+        if not any(ds <= m for m in maximal):
+            maximal.append(ds)
+    assign = {t: next(i for i, m in enumerate(maximal) if ds <= m) for t, ds in sets}
+    return [[c for c in order if c in m] for m in maximal], assign
+
+
+def base_aggregate(enriched: DataFrame, defs) -> DataFrame:
+    """Additive measures per cluster grain (week + cluster dims + declined flag).
+
+    One scan and one shuffle: ``groupingSets`` with one set per cluster, with
+    map-side partial aggregation (a hot key costs one row per task). ``_cid``
+    names the cluster of a row. Money is summed as long units (fast path).
+    """
+    cl, _ = clusters(defs)
+    cols = _grain(defs) + [DECLINED_FLAG]
+    sets = [[WEEK] + dims + [DECLINED_FLAG] for dims in cl]
+    gids = [sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in s) for s in sets]
     approved = is_approved("status")
     units = money_units("amount_usd")
-    return (enriched
+    base = (enriched
             .withColumn(DECLINED_FLAG, F.col("decline_reason").isNotNull())
-            .groupBy(*dims, DECLINED_FLAG)
+            .groupingSets([[F.col(c) for c in s] for s in sets], *cols)
             .agg(F.count(F.lit(1)).alias("n"),
                  F.count_if(approved).alias("n_approved"),
                  F.sum(units).alias("amount"),
-                 F.sum(F.when(approved, units)).alias("approved_amount")))
+                 F.sum(F.when(approved, units)).alias("approved_amount"),
+                 F.grouping_id().alias("_gid1")))
+    cid = F.expr("map(" + ", ".join(f"{g}, {i}" for i, g in enumerate(gids)) + ")[_gid1]")
+    return base.withColumn("_cid", cid).drop("_gid1")
 
 
 def _ident(c: str) -> str:
@@ -94,23 +126,27 @@ def _sum_wide(c: str) -> Column:
 
 
 def weekly_cube(base: DataFrame, defs) -> DataFrame:
-    """Step 2: one row per (segment type, its dimension values, week)."""
+    """Step 2: one row per (segment type, its dimension values, week), from its cluster's base rows."""
     dims = _grain(defs)
-    group_cols = dims + [DECLINED_FLAG]
+    _, assign = clusters(defs)
+    group_cols = dims + [DECLINED_FLAG, "_cid"]
     sets: dict[int, list[str]] = {}
     types_by_gid: dict[int, list[str]] = {}
     for t, d, dec in defs:
-        members = {WEEK, *d} | ({DECLINED_FLAG} if dec else set())
+        members = {WEEK, "_cid", *d} | ({DECLINED_FLAG} if dec else set())
         gid = sum(1 << (len(group_cols) - 1 - i) for i, c in enumerate(group_cols) if c not in members)
         sets[gid] = [c for c in group_cols if c in members]
         types_by_gid.setdefault(gid, []).append(t)
 
-    # long sums on the expanded base (fast path; ANSI mode raises on overflow)
+    # long sums over the small base (fast path; ANSI mode raises on overflow)
     cube = (base.groupingSets([[F.col(c) for c in s] for s in sets.values()], *group_cols)
             .agg(*[F.sum(m).alias(m) for m in MEASURES], F.grouping_id().alias("_gid")))
     gid_map = ", ".join(f"{gid}, array({', '.join(sql_literal(t) for t in ts)})"
                         for gid, ts in types_by_gid.items())
     typed = cube.withColumn("segment_type", F.explode(F.expr(f"map({gid_map})[_gid]")))
+    # a type only reads the base rows of its own cluster
+    own = ", ".join(f"{sql_literal(t)}, {c}" for t, c in assign.items())
+    typed = typed.where(F.expr(f"map({own})[segment_type]") == F.col("_cid"))
     declined_types = [t for t, _, dec in defs if dec]
     if declined_types:
         typed = typed.where(~F.col("segment_type").isin(declined_types) | F.col(DECLINED_FLAG))
@@ -142,13 +178,13 @@ def segment_cube(df: DataFrame, definitions: dict | None = None, declined_only:
     """All segment rows (SEGMENT contract) for every definition and period.
 
     ``df`` is raw or enriched transactions; pass ``base`` (from
-    ``base_aggregate``) to reuse an already computed base.
+    ``base_aggregate(enriched, defs)``) to reuse an already computed base.
     """
     defs = _definitions(definitions, declined_only)
     if base is None:
         if "amount_bucket" not in df.columns or "hour_bucket" not in df.columns:
             df = enrich(df, split_week, n_weeks)
-        base = base_aggregate(df, _grain(defs))
+        base = base_aggregate(df, defs)
     weekly = weekly_cube(base, defs)
     keys = ["segment_type", "segment_key", "dimension_1", "dimension_2", "dimension_3", "dimension_4"]
     # one branch: every weekly row feeds its week (none for a null week), its

@@ -66,11 +66,10 @@ def _segments(spark, sf_dir, b="E", materialize=True) -> DataFrame:
     return cut_lineage(seg, "segments") if materialize else seg
 
 
-def _anomalies(spark, sf_dir, b="E", materialize=True, **kw) -> DataFrame:
-    # detect_anomalies materialises its (small) compared table itself; the
-    # anomaly layer is written too when something downstream reads it again
-    an = A.detect_anomalies(_segments(spark, sf_dir, b, materialize=materialize), **kw)
-    return cut_lineage(an, "anomalies") if materialize else an
+def _anomalies(spark, sf_dir, b="E", **kw) -> DataFrame:
+    # the cube is read once here; detect_anomalies materialises its (small)
+    # compared table itself, so re-reads of the anomalies are cheap
+    return A.detect_anomalies(_segments(spark, sf_dir, b, materialize=False), **kw)
 
 
 def _candidates(spark, sf_dir, b="E", min_n=C.MIN_N) -> DataFrame:
@@ -169,7 +168,7 @@ def q_period_join(spark, d, b="E"):
 
 
 def q_zscore(spark, d, b="E"):
-    a = _anomalies(spark, d, b, materialize=False)
+    a = _anomalies(spark, d, b)
     return a.select("segment_key", "rate_change", r6("z_score").alias("z_score"))
 
 
@@ -181,11 +180,11 @@ def q_ztest_pvalue(spark, d, b="E"):
 
 
 def q_anomalies(spark, d, b="E"):
-    return _round_anomalies(_anomalies(spark, d, b, materialize=False))
+    return _round_anomalies(_anomalies(spark, d, b))
 
 
 def q_anomalies_excl(spark, d, b="E"):
-    return _round_anomalies(_anomalies(spark, d, b, materialize=False, exclude_types=A.ARTEFACT_TYPES))
+    return _round_anomalies(_anomalies(spark, d, b, exclude_types=A.ARTEFACT_TYPES))
 
 
 def q_anomaly_fallback(spark, d, b="E"):
