@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import contracts as C
-from ..functions.columns import approved_flag, is_approved, rounded_ratio, safe_rate
+from ..functions.columns import approved_flag, is_approved, rounded_ratio
 
 
 def customer_weeks(df: DataFrame) -> DataFrame:
@@ -136,6 +136,3 @@ def tag_customer_type(df: DataFrame) -> DataFrame:
     return joined.withColumn("customer_type", F.when(F.col("_fid").isNotNull(), F.lit("first_time"))
                              .otherwise(F.lit("returning"))).drop("_cid", "_fid")
 
-
-__all__ = ["customer_weeks", "first_time_vs_returning", "recurring_vs_onetime", "acquisition_cohorts",
-           "cohort_matrix", "cohort_payload", "tag_customer_type", "safe_rate"]
