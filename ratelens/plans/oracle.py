@@ -465,6 +465,11 @@ def build(b: str = "E") -> dict[str, str]:
          count(*) AS n_transactions
   FROM raw r LEFT JOIN fw ON r.customer_id = fw.customer_id GROUP BY 1, 2)"""]
     out["acquisition_cohorts"] = q(R + acq, "SELECT * FROM acq")
+    out["customer_type_tags"] = q(R, (
+        "SELECT transaction_id, customer_id, week_number, CASE WHEN timestamp IS NOT NULL AND row_number() OVER "
+        "(PARTITION BY customer_id ORDER BY timestamp ASC NULLS LAST, transaction_id) = 1 "
+        "THEN 'first_time' ELSE 'returning' END AS customer_type FROM raw"))
+    out["weekly_trend_from_cube"] = out["weekly_trend"]
     out["cohort_matrix"] = q(R + acq, "SELECT cohort_week, " + ", ".join(
         f"max(CASE WHEN transaction_week = {w} THEN approval_rate END) AS w{w}" for w in range(1, C.N_WEEKS + 1))
         + " FROM acq GROUP BY cohort_week")

@@ -229,6 +229,15 @@ def q_first_time_vs_returning(spark, d, b="E"):
     return K.first_time_vs_returning(_raw(spark, d, b))
 
 
+def q_customer_type_tags(spark, d, b="E"):
+    t = K.tag_customer_type(_raw(spark, d, b))
+    return t.select("transaction_id", "customer_id", "week_number", "customer_type")
+
+
+def q_weekly_trend_from_cube(spark, d, b="E"):
+    return T.weekly_trends_from_segments(_segments(spark, d, b, materialize=False))
+
+
 def q_recurring_vs_onetime(spark, d, b="E"):
     return K.recurring_vs_onetime(_raw(spark, d, b))
 
@@ -326,6 +335,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "summary": q_summary,
         "first_time_vs_returning": q_first_time_vs_returning,
         "recurring_vs_onetime": q_recurring_vs_onetime,
+        "customer_type_tags": q_customer_type_tags,
+        "weekly_trend_from_cube": q_weekly_trend_from_cube,
         "acquisition_cohorts": q_acquisition_cohorts,
         "cohort_matrix": q_cohort_matrix,
         "headline_trend": q_headline_trend,

@@ -80,4 +80,5 @@ def cut_lineage(df: DataFrame, name: str = "layer") -> DataFrame:
     """
     path = f"{checkpoint_root(df.sparkSession)}/layers/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # the schema is known: no inference job on read-back
+    return df.sparkSession.read.schema(df.schema).parquet(path)
