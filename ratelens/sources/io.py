@@ -8,7 +8,6 @@ input is an error -- there are no silent fallbacks to generated data.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import contracts as C

@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from ratelens import contracts as C
 from ratelens.operators.anomalies import detect_anomalies
@@ -101,4 +100,3 @@ def test_summary_counts(spark):
     assert sm.critical_insights == 1 and sm.high_insights == 1 and sm.low_insights == 1
     assert sm.total_monthly_revenue_impact_usd == pytest.approx(85_100.0)
     assert sm.overall_baseline_rate == 0.8 and sm.analysis_timestamp.endswith("Z")
-    assert F is not None
