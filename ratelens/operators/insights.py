@@ -141,7 +141,7 @@ def summary(anomalies: DataFrame, insights: DataFrame, with_timestamp: bool = Tr
         ins.getField("low").cast("long").alias("low_insights"))
     if with_timestamp:
         out = out.withColumn("analysis_timestamp",
-                             F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
+                             F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
     return out
 
 

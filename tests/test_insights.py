@@ -99,4 +99,12 @@ def test_summary_counts(spark):
     assert sm.anomalies_detected == 2
     assert sm.critical_insights == 1 and sm.high_insights == 1 and sm.low_insights == 1
     assert sm.total_monthly_revenue_impact_usd == pytest.approx(85_100.0)
-    assert sm.overall_baseline_rate == 0.8 and sm.analysis_timestamp.endswith("Z")
+    assert sm.overall_baseline_rate == 0.8 and sm.analysis_timestamp.endswith("+00:00")
+
+
+def test_scores_within_unit_interval(spark):
+    an = detect_anomalies(segment_cube(to_df(spark, planted())))
+    sc = score(candidates(an)).collect()
+    assert sc and all(0.0 <= r.score <= 1.0 for r in sc)
+    assert all(0.0 <= getattr(r, c) <= 1.0 for r in sc for c in ("impact_norm", "magnitude_norm",
+                                                                    "significance_norm"))

@@ -1,6 +1,8 @@
 import math
+import random
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from ratelens import contracts as C
@@ -123,3 +125,20 @@ def test_cube_plan_shape(spark, capsys):
     plan = capsys.readouterr().out
     assert "Expand" in plan and "HashAggregate" in plan and "BroadcastHashJoin" in plan
     assert "ReadSchema: struct<event_id" not in plan  # the cube never reads event_id
+
+
+@pytest.mark.parametrize("seed", [11, 12, 13])
+def test_cube_matches_brute_force_random(spark, seed):
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(150):
+        status = rnd.choice(["approved", "approved", "declined", None])
+        rows.append(row(i, rnd.choice([1, 2, 3, 4, 5, 6, None]), country=rnd.choice(["BR", "MX", None]),
+                        issuer=rnd.choice(["Itau", "BBVA", "Nubank"]), brand=rnd.choice(["Visa", "Amex"]),
+                        ctype=rnd.choice(["Credit", "Debit"]), amount=rnd.choice([None, 9.99, 55.5, 420.0, 12.34]),
+                        status=status, reason=rnd.choice(["lost_card", "fraud_suspected"]) if status == "declined"
+                        else None, hour=rnd.choice([None, 3, 8, 13, 18, 22])))
+    enriched = enrich(to_df(spark, rows))
+    got = segment_cube(enriched).toPandas()
+    exp = brute_force(enriched.toPandas())
+    assert _norm(got) == _norm(exp)
