@@ -59,7 +59,8 @@ def issuer_heatmap(segments: DataFrame, n_weeks: int = C.N_WEEKS, segment_type:
     dimension_1, which is the country for issuer rows; that is not repeated.
     """
     weeks = [f"week_{w}" for w in range(1, n_weeks + 1)]
-    seg = segments.where((F.col("segment_type") == segment_type) & F.col("period").isin(weeks))
+    # weekly periods by prefix ('weeks_...' halves do not match); prunes period partitions
+    seg = segments.where((F.col("segment_type") == segment_type) & F.col("period").startswith("week_"))
     wide = (seg.groupBy("segment_key", F.col("dimension_1").alias("country"),
                         F.col("dimension_2").alias("issuer_bank"))
             .pivot("period", weeks).agg(F.first("approval_rate")))
