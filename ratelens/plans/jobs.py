@@ -1,4 +1,4 @@
-"""End-to-end jobs, spark-submit style: ingest, pipeline, analyze, cohorts, views.
+"""End-to-end jobs, spark-submit style: ingest, segments, analyze, cohorts, views.
 
 Stages hand over through parquet layers under one output root (the
 reference's layered file contract), so each job reads only the small layer it
@@ -14,7 +14,7 @@ needs and a failed job is re-run from the last written layer:
     <root>/analytics/cohort_json       three record arrays (S14)
     <root>/views/<name>                V1-V6, C12, C13
 
-Usage: python -m ratelens.plans.jobs <ingest|pipeline|analyze|cohorts|views|all> <root> [sf_dir] [binding]
+Usage: python -m ratelens.plans.jobs <ingest|segments|analyze|cohorts|views|all> <root> [sf_dir] [binding]
 """
 
 from __future__ import annotations
@@ -61,13 +61,13 @@ def ingest(spark: SparkSession, sf_dir: str, root: str, binding: str = "E") -> D
     return io.read_raw(spark, p["raw"])
 
 
-def pipeline(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def segments(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Entry 1: raw -> enrich -> KPI, segment cube, weekly trend -> layers."""
     p = paths(root)
     raw = io.read_raw(spark, p["raw"])
-    segments = S.segment_cube(enrich(raw))
+    cube = S.segment_cube(enrich(raw))
     # the cube is written once; the weekly trend is re-rolled from it (no 2nd raw scan)
-    io.write_layer(segments, p["segments"], partition_by=["period"])
+    io.write_layer(cube, p["segments"], partition_by=["period"])
     seg = io.read_layer(spark, p["segments"], C.SEGMENT)
     io.write_layer(T.weekly_trends_from_segments(seg), p["trends"])
     return {"segments": seg, "trends": io.read_layer(spark, p["trends"], C.WEEKLY_TREND),
@@ -121,7 +121,7 @@ def views(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def run_all(spark: SparkSession, sf_dir: str, root: str, binding: str = "E") -> None:
     ingest(spark, sf_dir, root, binding)
-    pipeline(spark, root)
+    segments(spark, root)
     analyze(spark, root)
     cohorts(spark, root)
     views(spark, root)
@@ -134,7 +134,7 @@ def main(argv: list[str]) -> None:
     spark = get_spark("ratelens-jobs")
     steps = {
         "ingest": lambda: ingest(spark, sf_dir, root, binding),
-        "pipeline": lambda: pipeline(spark, root),
+        "segments": lambda: segments(spark, root),
         "analyze": lambda: analyze(spark, root),
         "cohorts": lambda: cohorts(spark, root),
         "views": lambda: views(spark, root),
