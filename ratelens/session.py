@@ -52,10 +52,12 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    # spark.checkpoint.dir is a static (core) setting: it cannot be set on a
+    # running session, so the private folder is only remembered here and
+    # registered with setCheckpointDir by ensure_checkpoint_dir.
     global _LOCAL_ROOT
     if _LOCAL_ROOT is None:
         _LOCAL_ROOT = fallback or tempfile.mkdtemp(prefix="ratelens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", _LOCAL_ROOT)
     return _LOCAL_ROOT
 
 

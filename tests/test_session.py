@@ -1,21 +1,33 @@
 import os
-import tempfile
 
+from ratelens import session
 from ratelens.session import checkpoint_root, cut_lineage
 
 
-def test_cut_lineage_uses_configured_checkpoint_dir(spark):
-    shared = tempfile.mkdtemp(prefix="shared-ckpt-")
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", shared)
-    try:
-        assert checkpoint_root(spark) == shared
-        df = cut_lineage(spark.range(10).withColumnRenamed("id", "x"), "probe")
-        assert df.count() == 10 and df.columns == ["x"]
-        layers = os.listdir(os.path.join(shared, "layers"))
-        assert len(layers) == 1 and layers[0].startswith("probe-")
-    finally:
-        if before is not None:
-            spark.conf.set("spark.checkpoint.dir", before)
-        else:
-            spark.conf.unset("spark.checkpoint.dir")
+def test_cut_lineage_writes_under_the_checkpoint_folder(spark):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    root = checkpoint_root(spark)
+    if configured:
+        assert root == configured.rstrip("/")
+    df = cut_lineage(spark.range(10).withColumnRenamed("id", "x"), "probe")
+    assert df.count() == 10 and df.columns == ["x"]
+    assert any(name.startswith("probe-") for name in os.listdir(os.path.join(root.replace("file:", ""), "layers")))
+
+
+def test_fallback_when_unset(spark, monkeypatch):
+    class NoConf:
+        def get(self, key, default=None):
+            return default
+
+    class FakeCtx:
+        def getConf(self):
+            return NoConf()
+
+    class FakeSession:
+        conf = NoConf()
+        sparkContext = FakeCtx()
+
+    monkeypatch.setattr(session, "_LOCAL_ROOT", None)
+    root = checkpoint_root(FakeSession())
+    assert os.path.isdir(root) and os.path.basename(root).startswith("ratelens-ckpt-")
+    assert checkpoint_root(FakeSession()) == root
