@@ -67,13 +67,24 @@ COUNTS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("gra
                        T.StructField("n", T.LongType())])
 
 
+#: N-gram codes a task holds of a language before it folds them to counts.
+HELD = 1 << 20
+
+
 def _count_task():
+    def folded(kinds: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        different, place = np.unique(kinds, return_inverse=True)
+        return different, np.bincount(place, weights=counts).astype(np.int64)
+
     def rows(batch):
-        by_lang: dict[str, list[np.ndarray]] = {}
+        by_lang: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         for text, lang in batch:
-            by_lang.setdefault(lang, []).append(grams(text))
+            parts = by_lang.setdefault(lang, [])
+            parts.append(np.unique(grams(text), return_counts=True))
+            if sum(len(k) for k, _ in parts[-64:]) > HELD or len(parts) >= 64:
+                by_lang[lang] = [folded(*map(np.concatenate, zip(*parts, strict=True)))]
         for lang, parts in by_lang.items():
-            kinds, counts = np.unique(np.concatenate(parts), return_counts=True)
+            kinds, counts = folded(*map(np.concatenate, zip(*parts, strict=True)))
             for k, n in zip(kinds.tolist(), counts.tolist(), strict=True):
                 yield lang, k, n
     return rows

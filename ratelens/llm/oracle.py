@@ -18,4 +18,61 @@ r AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLE: dict[str, str] = {"op2_exact_topk": OP2}
+OP1 = r"""
+WITH dw AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+  FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+bw AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+ds AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM dw),
+bs AS (
+  SELECT DISTINCT item_id, unnest(CASE
+    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM bw),
+n AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id),
+m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_item, n_shared
+FROM m JOIN n USING (item_id) WHERE n_shared * 1000 >= n_item * 800
+"""
+
+OP10 = r"""
+WITH p AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
+l AS (
+  SELECT doc_id, i, parts[i] AS line,
+         list_filter(regexp_split_to_array(lower(parts[i]), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w
+  FROM p, unnest(range(1, len(parts) + 1)) AS r(i)
+  WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+f AS (
+  SELECT array_to_string(w, ' ') AS k, any_value(w) AS w, min(doc_id * 100000000 + i) AS place
+  FROM l WHERE len(w) > 0 GROUP BY 1),
+v AS (
+  SELECT place, k, array_to_string(list_concat(w[1:j-1], w[j+1:len(w)]), ' ') AS cut, j
+  FROM f, unnest(range(1, len(w) + 1)) AS r(j) WHERE len(w) >= 8),
+swapped AS (
+  SELECT v.place FROM v JOIN (SELECT cut, j, min(place) AS best FROM v GROUP BY cut, j) b
+  ON v.cut = b.cut AND v.j = b.j AND b.best < v.place),
+longer AS (SELECT v.place AS a, f.place AS b FROM v JOIN f ON v.cut = f.k AND len(f.w) >= 8),
+near AS (
+  SELECT place FROM swapped
+  UNION SELECT a FROM longer WHERE b < a
+  UNION SELECT b FROM longer WHERE a < b),
+kept AS (SELECT place FROM f WHERE place NOT IN (SELECT place FROM near)),
+j AS (
+  SELECT l.doc_id, l.i, l.line, len(l.w) = 0 AS blank, kept.place IS NOT NULL AS stays
+  FROM l LEFT JOIN kept ON kept.place = l.doc_id * 100000000 + l.i),
+g AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE NOT blank AND NOT stays) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE blank OR stays), '') AS text
+  FROM j GROUP BY doc_id)
+SELECT p.doc_id, coalesce(g.n_lines, 0) AS n_lines, coalesce(g.n_dropped, 0) AS n_dropped,
+       CASE WHEN p.text IS NULL THEN NULL ELSE g.text END AS text
+FROM p LEFT JOIN g USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op1_benchmark_decontamination": OP1, "op2_exact_topk": OP2, "op10_line_dedup": OP10}

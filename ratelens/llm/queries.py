@@ -8,10 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, pii, token_counts, topk, toxicity
+from . import decontaminate, langid, line_dedup, packing, pii, token_counts, topk, toxicity
 from .common import table
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_item", "n_shared")
+
+
 def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.search(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
@@ -51,7 +56,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_topk, op3_pii, op4_toxicity, op5_language_id, op7_packing,
-                            op9_token_counts)
+    f.__name__: f for f in (op1_benchmark_decontamination, op2_exact_topk, op3_pii, op4_toxicity, op5_language_id,
+                            op7_packing, op9_token_counts, op10_line_dedup)
 }

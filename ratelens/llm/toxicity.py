@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, map_rows, trainable, utf32
+from .common import held_out, layer, map_rows, trainable, utf32
 
 BUCKETS = 1 << 19
 SIZES = (3, 4, 5)
-MAX_PER_CLASS = 4000
+MAX_PER_CLASS = 2500
 #: Buckets the regression may use: those seen in this many sample texts at least, then the
 #: strongest by |ratio| * sqrt(texts).
 MIN_TEXTS, MAX_FEATURES = 4, 30_000
@@ -70,71 +70,96 @@ class Model:
         return 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, z))))
 
 
-def _fit(texts: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray) -> Model:
-    lengths = np.array([len(x) for x in texts])
-    rows = np.repeat(np.arange(len(texts)), lengths)
-    cols = np.concatenate(texts).astype(np.int64)
-    seen = np.bincount(cols, minlength=BUCKETS)
-    p = ALPHA + np.bincount(cols, weights=toxic[rows], minlength=BUCKETS)
-    q = ALPHA + np.bincount(cols, weights=1.0 - toxic[rows], minlength=BUCKETS)
-    ratio = np.log(p / p.sum()) - np.log(q / q.sum())
-    strength = np.where(seen >= MIN_TEXTS, np.abs(ratio) * np.sqrt(seen), 0.0)
-    kept = np.sort(np.argsort(-strength, kind="stable")[:MAX_FEATURES])
-    kept = kept[strength[kept] > 0]
-    index = np.full(BUCKETS, -1)
-    index[kept] = np.arange(len(kept))
-    use = index[cols] >= 0
-    rows, cols = rows[use], index[cols[use]]
-    r = ratio[kept]
+def _fit(texts: list[np.ndarray], ratio: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and intercept of a logistic regression; ``texts`` index into ``ratio``."""
+    blocks = []
+    for at in range(0, len(texts), 512):
+        part = texts[at:at + 512]
+        blocks.append((slice(at, at + len(part)), np.concatenate(part), np.array([len(x) for x in part])))
     share = weight / weight.sum()
-    w, b = np.zeros(len(kept)), 0.0
-    m = [np.zeros(len(kept)), 0.0]
-    s = [np.zeros(len(kept)), 0.0]
+    w, b = np.zeros(len(ratio)), 0.0
+    m = [np.zeros(len(ratio)), 0.0]
+    s = [np.zeros(len(ratio)), 0.0]
     for t in range(1, ROUNDS + 1):  # Adam on the whole sample: deterministic, no step size to tune
-        z = b + np.bincount(rows, weights=(w * r)[cols], minlength=len(texts))
-        g = (1.0 / (1.0 + np.exp(-np.clip(z, -60, 60))) - toxic) * share
-        gw = np.bincount(cols, weights=g[rows], minlength=len(kept)) * r + L2 * w
-        for i, grad in ((0, gw), (1, g.sum())):
+        gw, gb, scaled = L2 * w, 0.0, w * ratio
+        for rows, cols, lengths in blocks:
+            row = np.repeat(np.arange(len(lengths)), lengths)
+            z = b + np.bincount(row, weights=scaled[cols], minlength=len(lengths))
+            g = (1.0 / (1.0 + np.exp(-np.clip(z, -60, 60))) - toxic[rows]) * share[rows]
+            gw = gw + np.bincount(cols, weights=g[row], minlength=len(ratio)) * ratio
+            gb += g.sum()
+        for i, grad in ((0, gw), (1, gb)):
             m[i] = 0.9 * m[i] + 0.1 * grad
             s[i] = 0.999 * s[i] + 0.001 * grad * grad
         step = [0.05 * (m[i] / (1 - 0.9**t)) / (np.sqrt(s[i] / (1 - 0.999**t)) + 1e-9) for i in (0, 1)]
         w, b = w - step[0], b - step[1]
-    weights = np.zeros(BUCKETS, np.float32)
-    weights[kept] = w * r
-    return Model(weights, float(b))
+    return w * ratio, float(b)
 
 
+COUNTS = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("toxic", T.LongType()),
+                       T.StructField("other", T.LongType())])
 BUCKETS_OF = T.StructType([T.StructField("toxic", T.IntegerType()), T.StructField("f", T.BinaryType())])
 
 
-def _feature_task():
+def _count_task():
     def rows(batch):
+        seen = np.zeros((2, BUCKETS), dtype=np.int64)
         for toxic, text in batch:
-            yield toxic, features(text).tobytes()
+            seen[toxic, features(text)] += 1
+        hit = np.flatnonzero(seen.any(axis=0))
+        yield from zip(hit.tolist(), seen[1, hit].tolist(), seen[0, hit].tolist(), strict=True)
     return rows
 
 
+def _feature_task(kept: np.ndarray):
+    def rows(batch):
+        for toxic, text in batch:
+            own = features(text).astype(np.int64)
+            at = np.minimum(np.searchsorted(kept, own), len(kept) - 1)
+            yield toxic, at[kept[at] == own].astype("<i4").tobytes()
+    return rows
+
+
+def _constant(total: dict[int, int]) -> Model:
+    share = total.get(1, 0) / max(1, sum(total.values()))
+    z = 700.0 if share == 1 else -700.0 if share == 0 else math.log(share / (1 - share))
+    return Model(np.zeros(BUCKETS, np.float32), z)
+
+
 def train(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS) -> Model:
     """Fit on ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``; see the module for the bound."""
     rows = (labels.where(trainable(F.col("doc_id")) & F.col("toxic").isin(0, 1)).groupBy("doc_id")
             .agg(F.max("toxic").cast("int").alias("toxic")))
     total = {x["toxic"]: x["n"] for x in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(total) < 2:
-        share = float(max(total, default=0))
-        return Model(np.zeros(BUCKETS, np.float32), 700.0 if share else -700.0)
+        return _constant(total)
     part = [rows.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_per_class)
             for c in (0, 1)]
     # the sample has at most 2 * max_per_class rows of two numbers: a proven bound for a broadcast
-    sample = docs.select("doc_id", "text").join(F.broadcast(part[0].union(part[1])), "doc_id")
-    got = map_rows(sample.select("toxic", "text"), _feature_task, BUCKETS_OF).collect()
+    sample = docs.select("doc_id", "text").join(
+        F.broadcast(layer(part[0].union(part[1]), "toxicity-sample")), "doc_id").select("toxic", "text")
+    counts = (map_rows(sample, _count_task, COUNTS).groupBy("bucket")
+              .agg(F.sum("toxic").alias("p"), F.sum("other").alias("q")))
+    counts = layer(counts, "toxicity-counts")  # a row a bucket
+    p_sum, q_sum, n = counts.agg(F.sum("p"), F.sum("q"), F.count("*")).first()
+    if not n:
+        return _constant(total)
+    ratio = (F.log((F.col("p") + ALPHA) / (p_sum + ALPHA * BUCKETS)) - F.log((F.col("q") + ALPHA) / (q_sum + ALPHA * BUCKETS)))
+    best = (counts.where(F.col("p") + F.col("q") >= MIN_TEXTS).select("bucket", ratio.alias("r"), (F.col("p") + F.col("q")).alias("n"))
+            .orderBy(F.desc(F.abs("r") * F.sqrt("n")), "bucket").limit(MAX_FEATURES).collect())
+    if not best:
+        return _constant(total)
+    best.sort(key=lambda x: x["bucket"])
+    kept = np.array([x["bucket"] for x in best], dtype=np.int64)
+    got = map_rows(sample, lambda: _feature_task(kept), BUCKETS_OF).collect()
     got.sort(key=lambda x: (x["toxic"], bytes(x["f"])))  # the fit doesn't depend on the order of rows
     toxic = np.array([x["toxic"] for x in got], dtype=np.float64)
-    texts = [np.frombuffer(x["f"], dtype=np.uint32) for x in got]
-    if not len(toxic) or not sum(map(len, texts)) or toxic.min() == toxic.max():
-        share = total[1] / (total[0] + total[1])
-        return Model(np.zeros(BUCKETS, np.float32), math.log(share / (1 - share)))
+    texts = [np.frombuffer(x["f"], dtype="<i4") for x in got]
     weight = np.where(toxic == 1, total[1] / max(1, (toxic == 1).sum()), total[0] / max(1, (toxic == 0).sum()))
-    return _fit(texts, toxic, weight)
+    w, b = _fit(texts, np.array([x["r"] for x in best]), toxic, weight)
+    weights = np.zeros(BUCKETS, np.float32)
+    weights[kept] = w
+    return Model(weights, b)
 
 
 OUT = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()),
