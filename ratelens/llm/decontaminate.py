@@ -29,16 +29,20 @@ CONTAINMENT = 0.8
 
 
 def _with_shingles(rows: DataFrame, text: str, words: int) -> DataFrame:
-    """``rows`` with ``sh``: the distinct shingle hashes of a text column, which goes."""
+    """``rows`` with ``sh``: the distinct shingle hashes of a text column, which goes.
+
+    Callers explode ``sh`` with the outer form and compare what follows from it under coalesce:
+    a filter, also one that Spark infers, would be pushed below and compute the shingles again.
+    """
     keep = [c for c in rows.columns if c != text]
     hashed = rows.select(*keep, F.transform(
         F.array_remove(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), ""), lambda w: F.xxhash64(w)).alias("wh"))
     size = F.size("wh")
     many = F.transform(F.sequence(F.lit(0), size - words),
                        lambda i: F.xxhash64(*(F.get("wh", i + k) for k in range(words))))
-    one = F.array(F.xxhash64("wh"))
-    return hashed.where("wh is not null").select(*keep, F.array_distinct(
-        F.when(size >= words, many).when(size > 0, one)).alias("sh")).where("sh is not null")
+    none = F.array().cast("array<bigint>")
+    return hashed.select(*keep, F.array_distinct(
+        F.when(size >= words, many).when(size > 0, F.array(F.xxhash64("wh"))).otherwise(none)).alias("sh"))
 
 
 def _allowed_missing(n: Column, containment: float) -> Column:
@@ -64,21 +68,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, words: int = WORDS,
                  containment: float = CONTAINMENT) -> DataFrame:
     """Pairs of ``docs(doc_id, text)`` and ``benchmark(item_id, text)`` with the containment:
     doc_id, dkey (hash of the text), item_id, n_item, n_shared, containment."""
-    items = _with_shingles(benchmark.where("item_id is not null").select("item_id", "text"), "text", words)
-    items = layer(items.select("item_id", F.explode("sh").alias("s")).groupBy("item_id")
+    items = _with_shingles(benchmark.where("item_id is not null and text is not null").select("item_id", "text"), "text", words)
+    items = layer(items.select("item_id", F.explode_outer("sh").alias("s")).where("s is not null").groupBy("item_id")
                   .agg(F.collect_set("s").alias("sh")), "bench-items")
     sketch = layer(sketches(items, containment), "bench-sketch")
     keyed = docs.where("doc_id is not null and text is not null").select(
         "doc_id", F.xxhash64("text").alias("dkey"), "text")
-    postings = _with_shingles(keyed, "text", words).select(
-        "doc_id", "dkey", F.size("sh").alias("size"), F.explode("sh").alias("hash"))
-    pairs = (postings.join(small_side(sketch, 40), "hash").where("size >= need")
+    # the size first, so that the exploded rows don't carry the array
+    postings = (_with_shingles(keyed, "text", words).select("doc_id", "dkey", F.size("sh").alias("size"), "sh")
+                .select("doc_id", "dkey", "size", F.explode_outer("sh").alias("hash")))
+    pairs = (postings.join(small_side(sketch, 40), "hash").where("coalesce(size, 0) >= need")
              .groupBy("doc_id", "dkey", "item_id").agg(F.count("*").alias("hits")))
     found = layer(pairs.groupBy("doc_id", "dkey").agg(F.collect_list("item_id").alias("items")), "bench-found")
     again = keyed.join(small_side(found, 100), ["doc_id", "dkey"])
     full = _with_shingles(again, "text", words).select("doc_id", "dkey", F.col("sh").alias("held"),
-                                                       F.explode("items").alias("item_id"))
-    shared = F.size(F.array_intersect("held", "sh"))
+                                                       F.explode_outer("items").alias("item_id"))
+    shared = F.coalesce(F.size(F.array_intersect("held", "sh")), F.lit(0))
     checked = (full.join(small_side(items, 2000), "item_id")
                .select("doc_id", "dkey", "item_id", F.size("sh").alias("n"), shared.alias("m"))
                .where(F.col("m") >= _needed(F.col("n"), containment)))

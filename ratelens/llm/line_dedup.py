@@ -44,7 +44,8 @@ def _words(line: Column) -> Column:
 def _lines(docs: DataFrame) -> DataFrame:
     rows = docs.where("doc_id is not null and text is not null").select(
         "doc_id", F.xxhash64("text").alias("dkey"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    return rows.select("doc_id", "dkey", "no", _words(F.col("line")).alias("w")).where(F.size("w") > 0)
+    # by the line, not by the size of its words: that filter would split every line twice
+    return rows.where(F.col("line").rlike(r"\S")).select("doc_id", "dkey", "no", _words(F.col("line")).alias("w"))
 
 
 def _half_keys(w: Column, n: Column, min_words: int) -> list[Column]:
@@ -83,18 +84,12 @@ def _with_partner(firsts: DataFrame, min_words: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The words of the wanted lines, read again from their first place."""
-    by_doc = layer(wanted.groupBy("doc_id", "dkey").agg(
-        F.collect_list(F.struct("no", "h1", "h2", "same_first", "same_last")).alias("lines")), "line-wanted")
-    found = (docs.where("doc_id is not null and text is not null")
-             .select("doc_id", "text", F.xxhash64("text").alias("dkey"))
-             .join(small_side(by_doc, 200), ["doc_id", "dkey"])
-             .select("doc_id", "dkey", "lines", F.split("text", "\n").alias("all"))
-             .select("doc_id", "dkey", F.inline(F.transform("lines", lambda x: F.struct(
-                 x["no"].alias("no"), x["h1"].alias("h1"), x["h2"].alias("h2"),
-                 x["same_first"].alias("same_first"), x["same_last"].alias("same_last"),
-                 F.get("all", x["no"]).alias("line"))))))
-    return (found.dropDuplicates(["h1", "h2"])  # repeated rows of a document
+    """The words of the wanted lines, read again at their first place."""
+    places = layer(wanted.select("doc_id", "dkey", "no", "same_first", "same_last"), "line-wanted")
+    lines = docs.where("doc_id is not null and text is not null").select(
+        "doc_id", F.xxhash64("text").alias("dkey"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
+    return (lines.join(small_side(places, 48), ["doc_id", "dkey", "no"])
+            .dropDuplicates(["doc_id", "dkey", "no"])  # repeated rows of a document
             .select(F.struct("doc_id", "dkey", "no").alias("place"), "same_first", "same_last",
                     _words(F.col("line")).alias("w")))
 
@@ -121,7 +116,8 @@ def _variants_by_array(lines: DataFrame) -> DataFrame:
         lambda i: F.struct(
             F.get("a", i).bitwiseXOR(F.get("b", i + 1)).bitwiseXOR(F.get("b", n)).alias("key"), i.alias("pos")))
     own = F.array(F.struct(F.get("a", n).alias("key"), F.lit(-1).alias("pos")))
-    return rows.select("place", F.inline(F.concat(own, deletions)))
+    # the outer form, for an inner one brings a filter that computes the array a second time
+    return rows.select("place", F.inline_outer(F.concat(own, deletions)))
 
 
 def _variants_by_window(lines: DataFrame) -> DataFrame:
