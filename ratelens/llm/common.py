@@ -100,4 +100,5 @@ def components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> Data
         if state == before:
             break
         before = state
-    return cur.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
+    roots = cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return cur.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)

@@ -75,4 +75,32 @@ SELECT p.doc_id, coalesce(g.n_lines, 0) AS n_lines, coalesce(g.n_dropped, 0) AS
 FROM p LEFT JOIN g USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op1_benchmark_decontamination": OP1, "op2_exact_topk": OP2, "op10_line_dedup": OP10}
+OP8 = r"""
+WITH RECURSIVE dw AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[ \x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+ds AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM dw),
+n AS (SELECT doc_id, count(*) AS n FROM ds GROUP BY doc_id),
+m AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o
+  FROM ds x JOIN ds y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+e AS (
+  SELECT a, b FROM m JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+  WHERE 100 * o >= 85 * (p.n + q.n - o)),
+both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach(doc_id, r) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT reach.doc_id, g.b FROM reach JOIN both_ways g ON g.a = reach.r)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, coalesce(k.n_links, 0) AS n_links
+FROM documents d JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
+LEFT JOIN n USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM both_ways GROUP BY a) k USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op1_benchmark_decontamination": OP1, "op2_exact_topk": OP2,
+                            "op8_ngram_jaccard": OP8, "op10_line_dedup": OP10}

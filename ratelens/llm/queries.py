@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, line_dedup, packing, pii, token_counts, topk, toxicity
+from . import decontaminate, langid, line_dedup, ngram_join, packing, pii, token_counts, topk, toxicity
 from .common import table
 
 
@@ -52,6 +52,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.join(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -63,5 +68,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_benchmark_decontamination, op2_exact_topk, op3_pii, op4_toxicity, op5_language_id,
-                            op7_packing, op9_token_counts, op10_line_dedup)
+                            op7_packing, op8_ngram_jaccard, op9_token_counts, op10_line_dedup)
 }
