@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, line_dedup, ngram_join, packing, pii, token_counts, topk, toxicity
+from . import decontaminate, langid, line_dedup, ngram_join, packing, pii, quote_links, token_counts, topk, toxicity
 from .common import table
 
 
@@ -47,6 +47,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.learn_profiles(docs))
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quote_links.link_quotes(table(spark, sf_dir, "conversations"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"))
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -68,5 +72,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_benchmark_decontamination, op2_exact_topk, op3_pii, op4_toxicity, op5_language_id,
-                            op7_packing, op8_ngram_jaccard, op9_token_counts, op10_line_dedup)
+                            op6_chat_formatting, op7_packing, op8_ngram_jaccard, op9_token_counts, op10_line_dedup)
 }
