@@ -68,11 +68,6 @@ def approved_flag(status: str | Column = "status") -> Column:
     return is_approved(status).cast("long")
 
 
-def txn_kind(recurring: str | Column = "is_recurring") -> Column:
-    """Null counts as one-time."""
-    return F.when(col(recurring), F.lit("recurring")).otherwise(F.lit("onetime"))
-
-
 def safe_rate(approved: str | Column, total: str | Column) -> Column:
     """Approved / total, 0.0 when total is 0 or null."""
     return F.coalesce(F.try_divide(col(approved).cast("double"), col(total).cast("double")), F.lit(0.0))
@@ -84,10 +79,14 @@ MONEY_SCALE = 4  # money is summed exactly in integer units of 1e-4 USD
 def money_units(amount: str | Column, scale: int = MONEY_SCALE) -> Column:
     """Amount as a long count of 10^-scale units (exact, order-independent sums).
 
-    Long sums stay on Spark's fast aggregation path on raw rows; NaN/inf
-    become null and are left out of sums.
+    Long sums stay on Spark's fast aggregation path on raw rows. A null amount
+    adds nothing; an amount that no long can hold (NaN, infinity, beyond 2^63
+    units) raises, in any session, so no amount ever leaves a sum unnoticed.
     """
-    return F.round(col(amount) * F.lit(float(10 ** scale)), 0).try_cast("long")
+    units = F.round(col(amount) * F.lit(float(10 ** scale)), 0)
+    problem = F.raise_error(F.concat(F.lit("amount cannot be summed exactly: "), col(amount).cast("string")))
+    return (F.when(F.abs(units) < F.lit(2.0 ** 63), units.cast("long"))
+            .when(units.isNotNull(), problem.cast("long")))
 
 
 def money_units_to_double(units: str | Column, scale: int = MONEY_SCALE) -> Column:
@@ -159,5 +158,5 @@ def rounded_ratio(num: str | Column, den: str | Column, decimals: int = 4) -> Co
     unit = 10 ** decimals
     top = n * F.lit(2 * unit) + d
     bottom = F.greatest(d * F.lit(2), F.lit(2).cast("long"))  # never 0; d = 0 is masked below
-    q = ((top - top % bottom) / bottom).cast("long")
+    q = F.call_function("div", top, bottom)  # integral: exact beyond 2^53 too
     return F.when(d > 0, q / F.lit(float(unit))).otherwise(F.lit(0.0))

@@ -24,8 +24,7 @@ def fixed(x: str | Column, decimals: int, grouping: bool = False, plus: bool = F
     n = scaled_int(x, decimals)
     a = F.abs(n)
     unit = 10 ** decimals
-    # exact integer division: a - a % unit is a multiple of unit
-    whole = a if decimals == 0 else ((a - a % F.lit(unit)) / F.lit(unit)).cast("long")
+    whole = a if decimals == 0 else F.call_function("div", a, F.lit(unit))
     whole_txt = F.format_number(whole, 0) if grouping else whole.cast("string")
     sign = F.when(n < 0, F.lit("-")).otherwise(F.lit("+" if plus else ""))
     if decimals == 0:
@@ -40,6 +39,9 @@ def segment_label(key: str | Column = "segment_key") -> Column:
     return F.coalesce(lookup(C.SEGMENT_LABELS, k, None), k)
 
 
+# FIXED VALUES: the sentences of titles and descriptions must equal the
+# reference's.
+
 def insight_title(key="segment_key", rate_change="rate_change") -> Column:
     """P27."""
     rc = col(rate_change)
@@ -51,17 +53,17 @@ def insight_title(key="segment_key", rate_change="rate_change") -> Column:
 
 def insight_description(key="segment_key", baseline="baseline_rate", current="current_rate",
                         rate_change="rate_change", impact="estimated_revenue_impact_usd",
-                        affected="affected_transactions", p_value="p_value", z_score="z_score") -> Column:
-    """P28."""
+                        affected="affected_transactions", p_value="p_value", z_score="z_score", split_week: int = C.SPLIT_WEEK) -> Column:
+    """P28; ``split_week`` is the last week of the baseline half."""
     rc = col(rate_change)
     direction = F.when(rc < 0, F.lit("dropped")).otherwise(F.lit("rose"))
     return F.concat(
         segment_label(key), F.lit("'s approval rate "), direction, F.lit(" from "),
         fixed(col(baseline) * F.lit(100.0), 1), F.lit("% to "),
-        fixed(col(current) * F.lit(100.0), 1), F.lit("% starting Week 4, a "),
+        fixed(col(current) * F.lit(100.0), 1), F.lit(f"% starting Week {split_week + 1}, a "),
         fixed(F.abs(rc) * F.lit(100.0), 1), F.lit("pp shift affecting "),
         F.format_number(col(affected).cast("long"), 0),
-        F.lit(" transactions per 3-week period. Estimated monthly revenue impact: $"),
+        F.lit(f" transactions per {split_week}-week period. Estimated monthly revenue impact: $"),
         fixed(impact, 0, grouping=True),
         F.lit(". Statistical significance: p="), fixed(p_value, 4),
         F.lit(", z="), fixed(z_score, 2), F.lit("."))

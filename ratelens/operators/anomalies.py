@@ -30,9 +30,14 @@ ARTEFACT_TYPES = ("time_weekly", "decline_reason", "country_decline_reason")
 
 
 def compare_periods(segments: DataFrame, baseline: str | None = None, current: str | None = None,
-                    exclude_types: tuple[str, ...] = ()) -> DataFrame:
-    """W2 + J1 + P14: one row per baseline segment_key with both halves' measures."""
-    b_label, c_label = half_labels()
+                    exclude_types: tuple[str, ...] = (), split_week: int = C.SPLIT_WEEK,
+                    n_weeks: int = C.N_WEEKS) -> DataFrame:
+    """W2 + J1 + P14: one row per baseline segment_key with both halves' measures.
+
+    The halves are named by ``split_week`` and ``n_weeks``; ``baseline`` and
+    ``current`` name any other two periods of the layer.
+    """
+    b_label, c_label = half_labels(split_week, n_weeks)
     baseline = baseline or b_label
     current = current or c_label
     seg = segments.where(F.col("period").isin(baseline, current))
@@ -66,7 +71,7 @@ def detect_anomalies(segments: DataFrame, exclude_types: tuple[str, ...] = (),
                      weeks_per_period: float = C.WEEKS_PER_PERIOD, weeks_per_month: float = C.WEEKS_PER_MONTH,
                      z_threshold: float = C.ANOMALY_Z, p_threshold: float = C.ANOMALY_P,
                      min_affected: int = C.ANOMALY_MIN_AFFECTED, keep_measures: bool = False,
-                     materialize=cut_lineage) -> DataFrame:
+                     split_week: int = C.SPLIT_WEEK, n_weeks: int = C.N_WEEKS) -> DataFrame:
     """ANOMALY rows for every baseline segment.
 
     By default the cube's artefact rows (time_weekly keys that exist in one
@@ -76,13 +81,14 @@ def detect_anomalies(segments: DataFrame, exclude_types: tuple[str, ...] = (),
 
     The compared table (one row per segment key, bounded by the dimensions'
     cardinality) is read twice -- by the mean/std subquery and by the scoring
-    -- so it is materialised once (``materialize``, default a parquet table
-    in the shared checkpoint folder; ``None`` keeps the plan lazy).
+    -- so it is materialised once, as a parquet table in the shared checkpoint
+    folder. A layer with nothing in one of the halves raises.
     """
-    joined = compare_periods(segments, exclude_types=exclude_types) \
-        .withColumn("rate_change", F.col("current_rate") - F.col("baseline_rate"))
-    if materialize is not None:
-        joined = materialize(joined)
+    joined = cut_lineage(compare_periods(segments, exclude_types=exclude_types, split_week=split_week, n_weeks=n_weeks)
+                         .withColumn("rate_change", F.col("current_rate") - F.col("baseline_rate")), "compared")
+    if joined.where("current_total > 0").isEmpty():
+        labels = " and ".join(half_labels(split_week, n_weeks))
+        raise ValueError(f"the segment layer has nothing to compare in the periods {labels}")
     stats = joined.agg(F.struct(F.avg("rate_change").alias("mean"),
                                 F.stddev_pop("rate_change").alias("std")).alias("s")).scalar()
     affected = F.col("current_total")

@@ -20,7 +20,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import contracts as C
 from ..functions.columns import approved_flag, is_approved, rounded_ratio
 
 
@@ -98,9 +97,10 @@ def acquisition_cohorts(df: DataFrame | None = None, per_customer: DataFrame | N
         F.col("_n").cast("long").alias("n_transactions")).orderBy("cohort_week", "transaction_week")
 
 
-def cohort_matrix(cohorts: DataFrame, n_weeks: int = C.N_WEEKS) -> DataFrame:
-    """cohort_week x transaction_week -> approval rate (pivot with fixed week values)."""
-    weeks = list(range(1, n_weeks + 1))
+def cohort_matrix(cohorts: DataFrame) -> DataFrame:
+    """cohort_week x transaction_week -> approval rate, with a column for each transaction
+    week of ``cohorts`` (a written layer: its weeks are read first, as many numbers as weeks)."""
+    weeks = sorted(r[0] for r in cohorts.select("transaction_week").distinct().collect() if r[0] is not None)
     wide = cohorts.groupBy("cohort_week").pivot("transaction_week", weeks).agg(F.first("approval_rate"))
     return wide.select("cohort_week", *[F.col(str(w)).alias(f"w{w}") for w in weeks]).orderBy("cohort_week")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import contracts as C
-from ..functions.columns import amount_bucket, hour_bucket, pattern_flags, period_half
+from ..functions.columns import amount_bucket, hour_bucket, period_half
 
 
 def enrich(df: DataFrame, split_week: int = C.SPLIT_WEEK, n_weeks: int = C.N_WEEKS) -> DataFrame:
@@ -18,11 +18,6 @@ def enrich(df: DataFrame, split_week: int = C.SPLIT_WEEK, n_weeks: int = C.N_WEE
     })
 
 
-def tag_patterns(df: DataFrame, **params) -> DataFrame:
-    """Boolean columns for the planted degradation patterns."""
-    return df.withColumns(pattern_flags(**params))
-
-
 def fx_normalise(df: DataFrame, fx: DataFrame | dict | None = None, key: str = "country",
                  scale: int = 4) -> DataFrame:
     """Amount (local) x fx_rate -> amount_usd_fx, rounded to ``scale``.

@@ -77,37 +77,31 @@ def diverse_top_k(scored: DataFrame, top_n: int = C.TOP_N) -> DataFrame:
     return picked.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("int"))
 
 
-def insight_id(baseline: str | None = None, current: str | None = None):
+def insight_id(split_week: int = C.SPLIT_WEEK, n_weeks: int = C.N_WEEKS):
     """P29 (re-aimed): deterministic id, so reruns overwrite the same insight."""
-    b, c = half_labels()
     return F.sha2(F.concat_ws("|", F.col("segment_type"), F.col("segment_key"),
-                              F.lit(baseline or b), F.lit(current or c)), 256)
+                              *(F.lit(x) for x in half_labels(split_week, n_weeks))), 256)
 
 
 def rank_insights(anomalies: DataFrame, top_n: int = C.TOP_N, min_n: int = C.MIN_N,
-                  keep_score: bool = False, materialize=cut_lineage) -> DataFrame:
+                  keep_score: bool = False, split_week: int = C.SPLIT_WEEK, n_weeks: int = C.N_WEEKS) -> DataFrame:
     """INSIGHT rows (at most ``top_n``).
 
     The candidate set (read by the score bounds and the scoring) and the
-    scored set (read three times by the top-k) are small; ``materialize``
-    (default: a parquet table in the shared checkpoint folder; ``None`` keeps
-    the plan lazy) writes each once instead of re-running its plan per read.
+    scored set (read three times by the top-k) are small; each is written once
+    to the shared checkpoint folder instead of re-running its plan per read.
     """
-    cands = candidates(anomalies, min_n)
-    if materialize is not None:
-        cands = materialize(cands)
-    scored = score(cands)
-    if materialize is not None:
-        scored = materialize(scored)
-    return insight_rows(diverse_top_k(scored, top_n), keep_score)
+    scored = cut_lineage(score(cut_lineage(candidates(anomalies, min_n), "candidates")), "scored")
+    return insight_rows(diverse_top_k(scored, top_n), keep_score, split_week, n_weeks)
 
 
-def insight_rows(ranked: DataFrame, keep_score: bool = False) -> DataFrame:
+def insight_rows(ranked: DataFrame, keep_score: bool = False, split_week: int = C.SPLIT_WEEK,
+                 n_weeks: int = C.N_WEEKS) -> DataFrame:
     """Id, title, description and severity of ranked rows."""
     out = ranked.withColumns({
-        "insight_id": insight_id(),
+        "insight_id": insight_id(split_week, n_weeks),
         "title": insight_title(),
-        "description": insight_description(),
+        "description": insight_description(split_week=split_week),
         "severity": severity(IMPACT),
     })
     if keep_score:
@@ -118,8 +112,10 @@ def insight_rows(ranked: DataFrame, keep_score: bool = False) -> DataFrame:
 def summary(anomalies: DataFrame, insights: DataFrame, with_timestamp: bool = True) -> DataFrame:
     """One-row summary. Rates are unweighted means over segments, and the
     impact sum double counts overlapping segments -- both as in the reference;
-    ``weighted_*`` fields give the transaction-weighted rates beside them.
+    ``weighted_*`` fields give the transaction-weighted rates beside them when
+    the anomalies carry the measures (``detect_anomalies(keep_measures=True)``).
     """
+    weighted = weighted_rates() if "baseline_total" in anomalies.columns else []
     ins = insights.agg(F.struct(
         F.sum(IMPACT).alias("impact"),
         F.count_if(F.col("severity") == "critical").alias("critical"),
@@ -128,7 +124,7 @@ def summary(anomalies: DataFrame, insights: DataFrame, with_timestamp: bool = Tr
         F.count_if(F.col("severity") == "low").alias("low"))).scalar()
     base = anomalies.agg(
         F.avg("baseline_rate").alias("_b"), F.avg("current_rate").alias("_c"),
-        F.count_if(F.col("is_anomaly")).alias("anomalies_detected"))
+        F.count_if(F.col("is_anomaly")).alias("anomalies_detected"), *weighted)
     out = base.select(
         F.round("_b", 4).alias("overall_baseline_rate"),
         F.round("_c", 4).alias("overall_current_rate"),
@@ -138,16 +134,15 @@ def summary(anomalies: DataFrame, insights: DataFrame, with_timestamp: bool = Tr
         ins.getField("critical").cast("long").alias("critical_insights"),
         ins.getField("high").cast("long").alias("high_insights"),
         ins.getField("medium").cast("long").alias("medium_insights"),
-        ins.getField("low").cast("long").alias("low_insights"))
+        ins.getField("low").cast("long").alias("low_insights"),
+        *(F.round(c, 4).alias(c) for c in ("weighted_baseline_rate", "weighted_current_rate") if weighted))
     if with_timestamp:
         out = out.withColumn("analysis_timestamp",
                              F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
     return out
 
 
-def weighted_rates(compared: DataFrame) -> DataFrame:
+def weighted_rates() -> list:
     """Transaction-weighted baseline/current rates over the compared segments (7.4.2)."""
-    return compared.agg(
-        (F.sum(F.col("baseline_rate") * F.col("baseline_total")) / F.sum("baseline_total")).alias("weighted_baseline_rate"),
-        F.try_divide(F.sum(F.col("current_rate") * F.col("current_total")), F.sum("current_total"))
-        .alias("weighted_current_rate"))
+    return [F.try_divide(F.sum(f"{h}_approved").cast("double"), F.sum(f"{h}_total").cast("double"))
+            .alias(f"weighted_{h}_rate") for h in ("baseline", "current")]

@@ -43,6 +43,8 @@ def _definitions(definitions, declined_only):
     dec = C.DECLINED_ONLY_SEGMENT_DEFINITIONS if declined_only is None else declined_only
     out = [(t, list(d), False) for t, d in defs.items()]
     out += [(t, list(d), True) for t, d in dec.items()]
+    if len({t for t, _, _ in out}) < len(out):
+        raise ValueError("a segment type is defined twice (definitions and declined_only share a name)")
     for t, d, _ in out:
         if not 1 <= len(d) <= 4:
             raise ValueError(f"segment '{t}' needs 1 to 4 dimensions, got {d}")
@@ -210,6 +212,3 @@ def segment_by(df: DataFrame, dims: list[str], where: Column | None = None, name
                         declined_only=spec if declined_only else {},
                         split_week=split_week, n_weeks=n_weeks)
 
-
-def period_names(split_week: int = C.SPLIT_WEEK, n_weeks: int = C.N_WEEKS) -> list[str]:
-    return [f"week_{w}" for w in range(1, n_weeks + 1)] + list(half_labels(split_week, n_weeks)) + ["all"]

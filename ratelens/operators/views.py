@@ -1,8 +1,8 @@
 """The data behind the dashboard views (rendering is not built).
 
 Every view reads a layer (trends, segments, insights) or the enriched rows and
-stays a DataFrame; bounded pivots use a fixed value list so no extra job runs
-to discover pivot values.
+stays a DataFrame; the weeks of a pivot are read from its (small) layer, so no
+week is ever left out.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .. import contracts as C
 from ..functions.columns import half_labels, is_approved, pattern_flags, period_half, rate_band, safe_rate
 from ..functions.text import fixed, scaled_int
+from ..session import cut_lineage
 
 
 def headline_trend(trends: DataFrame, target: float = C.TARGET_THRESHOLD,
@@ -27,13 +28,14 @@ def headline_trend(trends: DataFrame, target: float = C.TARGET_THRESHOLD,
     ).orderBy("week_number")
 
 
-def country_breakdown(segments: DataFrame, segment_type: str = "country") -> DataFrame:
+def country_breakdown(segments: DataFrame, segment_type: str = "country", split_week: int = C.SPLIT_WEEK,
+                      n_weeks: int = C.N_WEEKS) -> DataFrame:
     """V2: early/late rate per country (missing -> 0.0), drop in pp, worst first.
 
     ``is_worst`` marks the first country of the order (lowest late rate) when its
     drop is positive, like the chart's annotation.
     """
-    early, late = half_labels()
+    early, late = half_labels(split_week, n_weeks)
     seg = segments.where((F.col("segment_type") == segment_type) & F.col("period").isin(early, late))
     per = (seg.groupBy(F.col("dimension_1").alias("country"))
            .agg(F.max(F.when(F.col("period") == early, F.col("approval_rate"))).alias("_e"),
@@ -52,15 +54,19 @@ def country_breakdown(segments: DataFrame, segment_type: str = "country") -> Dat
     return out.orderBy("_ord").drop("_ord")
 
 
-def issuer_heatmap(segments: DataFrame, n_weeks: int = C.N_WEEKS, segment_type: str = "issuer") -> DataFrame:
+def issuer_heatmap(segments: DataFrame, segment_type: str = "issuer") -> DataFrame:
     """V3: issuer x week approval rate (missing -> 0.0), worst last week first.
 
+    The weeks are those of the layer: as many numbers as it has weekly periods.
+
     Keyed by segment_key / dimension_2 (the issuer). The reference pivots on
     dimension_1, which is the country for issuer rows; that is not repeated.
     """
-    weeks = [f"week_{w}" for w in range(1, n_weeks + 1)]
     # weekly periods by prefix ('weeks_...' halves do not match); prunes period partitions
     seg = segments.where((F.col("segment_type") == segment_type) & F.col("period").startswith("week_"))
+    weeks = sorted((r[0] for r in seg.select("period").distinct().collect()), key=lambda p: int(p[len("week_"):]))
+    if not weeks:
+        raise ValueError(f"the segment layer has no weekly row of type '{segment_type}'")
     wide = (seg.groupBy("segment_key", F.col("dimension_1").alias("country"),
                         F.col("dimension_2").alias("issuer_bank"))
             .pivot("period", weeks).agg(F.first("approval_rate")))
@@ -71,7 +77,8 @@ def issuer_heatmap(segments: DataFrame, n_weeks: int = C.N_WEEKS, segment_type:
 FACTORS = ["hot_issuer", "high_value", "evening", "other"]
 
 
-def waterfall(enriched: DataFrame, **pattern_params) -> DataFrame:
+def waterfall(enriched: DataFrame, split_week: int = C.SPLIT_WEEK, n_weeks: int = C.N_WEEKS,
+              **pattern_params) -> DataFrame:
     """V4: exact decomposition of the half-over-half rate change by pattern factor.
 
     Each row goes to the first pattern it matches (hot issuer, high value,
@@ -83,15 +90,15 @@ def waterfall(enriched: DataFrame, **pattern_params) -> DataFrame:
     factor = (F.when(flags["is_hot_issuer"], F.lit("hot_issuer"))
               .when(flags["is_high_value"], F.lit("high_value"))
               .when(flags["is_evening"], F.lit("evening")).otherwise(F.lit("other")))
-    early, late = half_labels()
-    half = period_half("week_number")
+    early, late = half_labels(split_week, n_weeks)
+    half = period_half("week_number", split_week, n_weeks)
     ok = is_approved()
-    # one scan, one branch: grouping sets give the factor rows and the total row
-    per = (enriched.withColumn("factor", factor)
-           .groupingSets([[F.col("factor")], []], "factor")
-           .agg(F.count_if(half == early).alias("nb"), F.count_if((half == early) & ok).alias("ab"),
-                F.count_if(half == late).alias("nc"), F.count_if((half == late) & ok).alias("ac"),
-                F.grouping_id().alias("_total")))
+    # the raw rows are grouped once; grouping sets over the four factor rows add the total
+    factors = (enriched.withColumn("factor", factor).groupBy("factor")
+               .agg(F.count_if(half == early).alias("nb"), F.count_if((half == early) & ok).alias("ab"),
+                    F.count_if(half == late).alias("nc"), F.count_if((half == late) & ok).alias("ac")))
+    per = (factors.groupingSets([[F.col("factor")], []], "factor")
+           .agg(*(F.sum(c).alias(c) for c in ("nb", "ab", "nc", "ac")), F.grouping_id().alias("_total")))
     # at most 5 rows (4 fixed factors + the total): the totals are a window over them
     everything = Window.partitionBy()
     per = per.withColumns({f"t{c}": F.max(F.when(F.col("_total") == 1, F.col(c))).over(everything)
@@ -115,21 +122,53 @@ def waterfall(enriched: DataFrame, **pattern_params) -> DataFrame:
     return per.select(F.explode(rows).alias("s")).select("s.*").orderBy("step")
 
 
-def amount_box(enriched: DataFrame, exact: bool = True, accuracy: int = 10000) -> DataFrame:
-    """V5: box statistics of amount_usd by half x status.
+#: Buckets of the distinct amounts of a group, by approximate quantiles.
+BOX_BUCKETS = 256
+
+
+def amount_box(enriched: DataFrame, buckets: int = BOX_BUCKETS) -> DataFrame:
+    """V5: box statistics of amount_usd by half x status, with exact quantiles.
 
-    ``exact`` uses ``percentile`` (memory per group bounded by the number of
-    distinct amounts, e.g. cents in [0, 500]); ``exact=False`` uses
-    ``percentile_approx`` (bounded sketch) for unbounded value domains.
+    The rows are counted per distinct amount once; the amounts of a group are
+    split into ``buckets`` ranges by approximate quantiles, the counts of the
+    ranges (at most ``buckets`` a group) are summed up, and only the ranges that
+    hold a wanted rank are ordered. No task ever holds a whole group.
     """
-    a = F.col("amount_usd")
-    if exact:
-        qs = [F.percentile(a, q).alias(n) for q, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))]
-    else:
-        qs = [F.percentile_approx(a, q, accuracy).alias(n) for q, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))]
-    return (enriched.groupBy("period_half", "status")
-            .agg(F.count(a).alias("n"), F.min(a).alias("min"), *qs, F.max(a).alias("max"), F.avg(a).alias("mean"))
-            .orderBy("period_half", "status"))
+    group = ["period_half", "status"]
+    counts = cut_lineage(enriched.groupBy(*group, F.col("amount_usd").alias("a")).agg(F.count(F.lit(1)).alias("c")),
+                         "amount-counts")
+    known = F.col("a").isNotNull()
+    edges = F.array(*(F.lit(i / buckets) for i in range(1, buckets)))
+    box = counts.groupBy(*group).agg(
+        F.coalesce(F.sum(F.when(known, F.col("c"))), F.lit(0)).alias("n"), F.min("a").alias("min"), F.max("a").alias("max"),
+        F.try_divide(F.sum(F.col("a") * F.col("c")), F.sum(F.when(known, F.col("c")))).alias("mean"),
+        F.percentile_approx("a", edges, 10_000).alias("cuts"))
+    keys = counts.where(known).join(box.select(*(F.col(g).alias(f"_{g}") for g in group), "n", "cuts"),
+                                    [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group])
+    ranged = keys.select(*group, "n", "a", "c", F.size(F.filter("cuts", lambda x: x < F.col("a"))).alias("range"))
+    up_to = Window.partitionBy(*group).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy(*group, "range").agg(F.sum("c").alias("held"), F.min("n").alias("n")).withColumn(
+        "before", F.coalesce(F.sum("held").over(up_to), F.lit(0)))
+    quantiles = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
+    wanted = totals.select(*group, "range", "before", "held", F.explode(F.array(*(
+        F.struct(F.lit(name).alias("q"), (F.lit(q) * (F.col("n") - 1)).alias("at")) for name, q in quantiles))).alias("w"))
+    wanted = wanted.select(*group, "range", "before", "held", "w.q", F.explode(F.array(
+        F.struct(F.floor("w.at").alias("rank"), (F.lit(1.0) - (F.col("w.at") - F.floor("w.at"))).alias("share")),
+        F.struct((F.floor("w.at") + 1).alias("rank"), (F.col("w.at") - F.floor("w.at")).alias("share")))).alias("r"))
+    wanted = wanted.where((F.col("r.share") > 0) & F.col("r.rank").between(F.col("before"), F.col("before") + F.col("held") - 1))
+    near = Window.partitionBy(*group, "range").orderBy("a").rowsBetween(Window.unboundedPreceding, -1)
+    asked = wanted.select(*(F.col(g).alias(f"_{g}") for g in group), F.col("range").alias("_range")).distinct()
+    some = (ranged.join(asked, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group] + [F.col("range") == F.col("_range")])
+            .withColumn("inside", F.coalesce(F.sum("c").over(near), F.lit(0)))
+            .select(*(F.col(g).alias(f"_{g}") for g in group), F.col("range").alias("_range"), "a", "c", "inside"))
+    rank = F.col("r.rank") - F.col("before")
+    hit = wanted.join(some, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group] + [F.col("range") == F.col("_range")]).where(
+        (rank >= F.col("inside")) & (rank < F.col("inside") + F.col("c")))
+    found = hit.groupBy(*group).agg(*(
+        F.sum(F.when(F.col("q") == name, F.col("a") * F.col("r.share"))).alias(name) for name, _ in quantiles))
+    found = found.select(*(F.col(g).alias(f"_{g}") for g in group), "q1", "median", "q3")
+    return (box.join(found, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group], "left")
+            .select(*group, "n", "min", "q1", "median", "q3", "max", "mean").orderBy(*group))
 
 
 def hourly_pattern(enriched: DataFrame) -> DataFrame:

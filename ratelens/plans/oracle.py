@@ -3,18 +3,18 @@
 Written independently of the Spark plans and deliberately the brute-force
 way the reference computes things: one filtered GROUP BY per segment
 definition and period joined by UNION ALL, ROW_NUMBER de-duplication and a
-LEFT JOIN for the period comparison, window ranks for cohorts. The bindings
-and fixed values are the same as in ``sources/bindings.py`` and
-``contracts.py`` (read from there, not re-typed).
+LEFT JOIN for the period comparison, window ranks for cohorts. Nothing of the engine is imported: the fixed
+values are typed again in ``oracle_values.py``, so a wrong constant on either
+side shows as a difference.
 """
 
 from __future__ import annotations
 
 import math
 
-from .. import contracts as C
-from ..sources import bindings as B
-from . import queries as Q
+from . import oracle_values as C
+from . import oracle_values as B
+from . import oracle_values as Q
 
 B_HALF, C_HALF = "weeks_1_3", "weeks_4_6"
 APPROVED_N = "count(*) FILTER (WHERE status = 'approved')"
@@ -126,9 +126,7 @@ def raw_l_cte() -> str:
   LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
   LEFT JOIN part p ON l.l_partkey = p.p_partkey
-  LEFT JOIN geo g ON c.c_nationkey = g.n_nationkey
-  WHERE l.l_shipdate >= TIMESTAMP '{B.LINEITEM_FIRST_YEAR}-01-01'
-    AND l.l_shipdate < TIMESTAMP '{B.LINEITEM_LAST_YEAR + 1}-01-01')"""
+  LEFT JOIN geo g ON c.c_nationkey = g.n_nationkey)"""
 
 
 def amount_bucket_sql(x: str = "amount_usd") -> str:
@@ -141,24 +139,24 @@ def hour_bucket_sql(x: str = "hour_of_day") -> str:
     return f"CASE {' '.join(parts)} ELSE {s(C.HOUR_BUCKETS[-1][0])} END"
 
 
-def half_sql(x: str = "week_number") -> str:
-    return f"CASE WHEN {x} <= {C.SPLIT_WEEK} THEN '{B_HALF}' ELSE '{C_HALF}' END"
+def half_sql(x: str = "week_number", split: int = 3) -> str:
+    return f"CASE WHEN {x} <= {split} THEN 'weeks_1_{split}' ELSE 'weeks_{split + 1}_6' END"
 
 
-def base_ctes(b: str = "E", enriched: bool = True) -> list[str]:
+def base_ctes(b: str = "E", enriched: bool = True, split: int = 3) -> list[str]:
     ctes = [geo_cte(), raw_e_cte() if b == "E" else raw_l_cte()]
     if enriched:
         ctes.append(f"""enriched AS (
   SELECT *, {amount_bucket_sql()} AS amount_bucket, {hour_bucket_sql()} AS hour_bucket,
-         {half_sql()} AS period_half FROM raw)""")
+         {half_sql(split=split)} AS period_half FROM raw)""")
     return ctes
 
 
 # --------------------------------------------------------------------------- segments
 
 def money_sum(x: str) -> str:
-    """Exact sum in 1e-4 USD units, then USD; 0.0 when nothing to sum."""
-    return f"COALESCE(CAST(sum(TRY_CAST(round(({x}) * CAST(10000.0 AS DOUBLE)) AS BIGINT)) AS DOUBLE) / CAST(10000.0 AS DOUBLE), 0.0)"
+    """Decimal sum (no overflow, no dropped amounts); 0.0 when nothing to sum."""
+    return f"COALESCE(CAST(sum(CAST(({x}) AS DECIMAL(18, 4))) AS DOUBLE), 0.0)"
 
 
 MEASURES = f"""count(*) AS total_transactions,
@@ -245,8 +243,8 @@ def pvalue_ctes(src: str = "cmp") -> list[str]:
     ]
 
 
-def anomaly_ctes(exclude: tuple = ()) -> list[str]:
-    ctes = compare_ctes(exclude=exclude) + pvalue_ctes("cmp")
+def anomaly_ctes(exclude: tuple = (), b_period: str = B_HALF, c_period: str = C_HALF) -> list[str]:
+    ctes = compare_ctes(exclude=exclude, b_period=b_period, c_period=c_period) + pvalue_ctes("cmp")
     std = "(SELECT stddev_pop(rate_change) FROM cmp)"
     mean = "(SELECT avg(rate_change) FROM cmp)"
     ticket = "CASE WHEN current_total > 0 THEN current_amount_usd / CAST(current_total AS DOUBLE) ELSE 0.0 END"
@@ -431,7 +429,12 @@ def build(b: str = "E") -> dict[str, str]:
         f"round(COALESCE((SELECT sum({IMPACT}) FROM ins), 0.0), 2) AS total_monthly_revenue_impact_usd, "
         "count(*) FILTER (WHERE is_anomaly) AS anomalies_detected, "
         + ", ".join(f"(SELECT count(*) FROM ins WHERE severity = '{sv}') AS {sv}_insights"
-                    for sv in ("critical", "high", "medium", "low")) + " FROM an"))
+                    for sv in ("critical", "high", "medium", "low"))
+        + ", round(CAST(sum(baseline_approved) AS DOUBLE) / NULLIF(sum(baseline_total), 0), 4) AS weighted_baseline_rate"
+          ", round(CAST(sum(current_approved) AS DOUBLE) / NULLIF(sum(current_total), 0), 4) AS weighted_current_rate"
+        + " FROM an"))
+    out["summary_json"] = ("SELECT * EXCLUDE (weighted_baseline_rate, weighted_current_rate), TRUE AS utc_stamp FROM ("
+                           + out["summary"] + ")")
     # cohorts
     ft = f"""ftr AS (
   SELECT week_number, status,
@@ -471,7 +474,7 @@ def build(b: str = "E") -> dict[str, str]:
         "THEN 'first_time' ELSE 'returning' END AS customer_type FROM raw"))
     out["weekly_trend_from_cube"] = out["weekly_trend"]
     out["cohort_matrix"] = q(R + acq, "SELECT cohort_week, " + ", ".join(
-        f"max(CASE WHEN transaction_week = {w} THEN approval_rate END) AS w{w}" for w in range(1, C.N_WEEKS + 1))
+        f"max(CASE WHEN transaction_week = {w} THEN approval_rate END) AS w{w}" for w in range(1, 7))
         + " FROM acq GROUP BY cohort_week")
     # views
     out["headline_trend"] = q(R + [trend_cte()], (
@@ -487,7 +490,8 @@ def build(b: str = "E") -> dict[str, str]:
         f"{band_sql('COALESCE(l, 0.0)')} AS late_band, "
         "(row_number() OVER (ORDER BY (l IS NULL), l ASC NULLS FIRST, country ASC NULLS FIRST) = 1) "
         "AND (COALESCE(e, 0.0) - COALESCE(l, 0.0)) * 100.0 > 0 AS is_worst FROM cb"))
-    weeks = [f"week_{w}" for w in range(1, C.N_WEEKS + 1)]
+    # the events span six periods, the line items the seven years 1995 to 2001
+    weeks = [f"week_{w}" for w in range(1, 7 if b == "E" else 8)]
     out["issuer_heatmap"] = q(seg, (
         "SELECT segment_key, dimension_1 AS country, dimension_2 AS issuer_bank, " + ", ".join(
             f"COALESCE(max(CASE WHEN period = '{p}' THEN approval_rate END), 0.0) AS {p}" for p in weeks)
@@ -559,10 +563,7 @@ def build(b: str = "E") -> dict[str, str]:
   FROM cur LEFT JOIN hist ON {joins})"""], (
         f"SELECT transaction_id, {', '.join(dims)}, hist_n, hist_approved, round(ea, 6) AS expected_approval, "
         "round(1.0 - ea, 6) AS risk_score FROM rs"))
-    from ..streaming import alerts as AL
-    win_h, slide_h = int(AL.WINDOW.split()[0]), int(AL.SLIDE.split()[0])
-    assert slide_h == 1 and AL.SLIDE.endswith("hour")
-    dimc = ", ".join(AL.DIMS)
+    win_h, dimc = 6, "country"
     out["alert_windows"] = q(R + [
         f"aw0 AS (SELECT *, date_trunc('hour', timestamp) - to_hours(k) AS ws FROM raw, "
         f"(SELECT unnest(range(0, {win_h})) AS k) t WHERE timestamp IS NOT NULL)",
@@ -571,8 +572,18 @@ def build(b: str = "E") -> dict[str, str]:
         "SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, "
         f"strftime(ws + to_hours({win_h}), '%Y-%m-%d %H:%M:%S') AS window_end, {dimc}, total_transactions, "
         "approved_transactions, CAST(approved_transactions AS DOUBLE) / CAST(total_transactions AS DOUBLE) AS approval_rate "
-        f"FROM aw WHERE CAST(approved_transactions AS DOUBLE) / CAST(total_transactions AS DOUBLE) < {s(AL.THRESHOLD)} "
-        f"AND total_transactions >= {AL.MIN_N}"))
+        f"FROM aw WHERE CAST(approved_transactions AS DOUBLE) / CAST(total_transactions AS DOUBLE) < {s(0.6)} "
+        f"AND total_transactions >= 5"))
+    for layer, source in (("layer_raw", "weekly_trend"), ("layer_segments", "segments_all"),
+                          ("layer_anomalies", "anomalies"), ("layer_view", "headline_trend"),
+                          ("insights_json", "insights"), ("cohort_payload", "acquisition_cohorts")):
+        out[layer] = out[source]
+    out["sample_csv"] = q(R, "SELECT transaction_id, CAST(week_number AS VARCHAR) AS week_number, status, decline_reason "
+                             "FROM raw ORDER BY timestamp, transaction_id LIMIT 100")
+    out["segment_drill"] = q(E + [segments_cte(definitions={"drill": ["country", "hour_bucket"]}, declined_only={})],
+                             "SELECT * FROM seg")
+    out["anomalies_split2"] = q(base_ctes(b, split=2) + [segments_cte()] + anomaly_ctes(
+        b_period="weeks_1_2", c_period="weeks_3_6"), f"SELECT {ANOMALY_COLS} FROM an")
     return out
 
 
@@ -584,12 +595,11 @@ def oracle_sql() -> dict[str, str]:
     E = base_ctes("E")
     fx = "fx AS (SELECT DISTINCT r_name AS country, fx_rate FROM geo)"
     out["fx_normalised"] = q(base_ctes("E", enriched=False) + [fx], (
-        "SELECT transaction_id, raw.country, currency, amount, amount_usd, fx.fx_rate, "
-        "round(amount * fx.fx_rate, 4) AS amount_usd_fx, "
-        "abs(round(amount * fx.fx_rate, 4) - amount_usd) < CAST(1e-6 AS DOUBLE) AS round_trips "
+        "SELECT transaction_id, raw.country, currency, amount_usd AS amount, fx.fx_rate, "
+        "round(amount_usd * fx.fx_rate, 8) AS amount_usd_fx "
         "FROM raw LEFT JOIN fx ON raw.country = fx.country"))
     out["segment_drill_4d"] = q(E + [
-        "src AS (SELECT * FROM enriched WHERE NOT is_recurring)",
+        "src AS (SELECT * FROM enriched WHERE NOT COALESCE(is_recurring, FALSE))",
         segments_cte(src="src", definitions={"drill_4d": Q.DRILL_DIMS}, declined_only={})], "SELECT * FROM seg")
     for name in Q.L_VARIANTS:
         out[f"{name}_L"] = l_[name]

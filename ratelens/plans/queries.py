@@ -9,6 +9,7 @@ projection so an independent engine can compare values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,8 @@ from ..operators import segments as S
 from ..operators import trends as T
 from ..operators import views as V
 from ..operators.enrich import enrich, fx_normalise
-from ..session import cut_lineage
+from ..session import checkpoint_root, cut_lineage
+from ..sources import io
 from ..sources.bindings import geography, transactions
 from ..streaming import alerts
 
@@ -108,10 +110,9 @@ def q_enrich_buckets(spark, d, b="E"):
 def q_fx_normalised(spark, d):
     raw = _raw(spark, d, "E")
     fx = geography(spark, d).select(F.col("r_name").alias("country"), "fx_rate").distinct()
-    out = fx_normalise(raw, fx=fx)
-    return out.select("transaction_id", "country", "currency", "amount", "amount_usd", "fx_rate",
-                      "amount_usd_fx",
-                      (F.abs(F.col("amount_usd_fx") - F.col("amount_usd")) < F.lit(1e-6)).alias("round_trips"))
+    # the event's value taken as local money: an amount that no rate has made
+    out = fx_normalise(raw.withColumn("amount", F.col("amount_usd")), fx=fx, scale=8)
+    return out.select("transaction_id", "country", "currency", "amount", "fx_rate", "amount_usd_fx")
 
 
 def q_weekly_trend(spark, d, b="E"):
@@ -135,7 +136,13 @@ def q_segments_all(spark, d, b="E"):
 
 
 def q_segment_drill_4d(spark, d):
-    return S.segment_by(_enriched(spark, d, "E"), DRILL_DIMS, where=~F.col("is_recurring"), name="drill_4d")
+    # a null flag counts as one-time, as in C9
+    one_time = ~F.coalesce(F.col("is_recurring"), F.lit(False))
+    return S.segment_by(_enriched(spark, d, "E"), DRILL_DIMS, where=one_time, name="drill_4d")
+
+
+def q_segment_drill(spark, d, b="E"):
+    return S.segment_by(_enriched(spark, d, b), ["country", "hour_bucket"], name="drill")
 
 
 def q_declined_reason_segments(spark, d, b="E"):
@@ -183,6 +190,11 @@ def q_anomalies(spark, d, b="E"):
     return _round_anomalies(_anomalies(spark, d, b))
 
 
+def q_anomalies_split2(spark, d, b="E"):
+    seg = S.segment_cube(_raw(spark, d, b), split_week=2, n_weeks=6)
+    return _round_anomalies(A.detect_anomalies(seg, split_week=2, n_weeks=6))
+
+
 def q_anomalies_excl(spark, d, b="E"):
     return _round_anomalies(_anomalies(spark, d, b, exclude_types=A.ARTEFACT_TYPES))
 
@@ -221,10 +233,81 @@ def q_severity_counts(spark, d, b="E"):
 
 
 def q_summary(spark, d, b="E"):
-    a = _anomalies(spark, d, b)
+    a = _anomalies(spark, d, b, keep_measures=True)
     return I.summary(a, I.rank_insights(a), with_timestamp=False)
 
 
+# Layer round trips: each query writes a layer under the shared folder, reads it back through its
+# source and returns what was read.
+
+def _layer_path(spark, name: str) -> str:
+    return f"{checkpoint_root(spark)}/layers/{name}-{uuid.uuid4().hex}"
+
+
+def q_layer_raw(spark, d, b="E"):
+    """The raw layer, validated on both sides."""
+    path = _layer_path(spark, "raw")
+    io.write_layer(C.validate(_raw(spark, d, b), C.RAW_TRANSACTION, strict=True), path)
+    return T.weekly_trends(io.read_raw(spark, path))
+
+
+def q_layer_segments(spark, d, b="E"):
+    """The segment layer, partitioned by period."""
+    path = _layer_path(spark, "segments")
+    io.write_layer(_segments(spark, d, b, materialize=False), path, partition_by=["period"])
+    return io.read_layer(spark, path, C.SEGMENT)
+
+
+def q_layer_anomalies(spark, d, b="E"):
+    """S4."""
+    path = _layer_path(spark, "anomalies")
+    io.write_layer(_anomalies(spark, d, b), path)
+    return _round_anomalies(io.read_layer(spark, path, C.ANOMALY))
+
+
+def q_layer_view(spark, d, b="E"):
+    """A view's parquet."""
+    path = _layer_path(spark, "view")
+    io.write_layer(q_headline_trend(spark, d, b), path)
+    return spark.read.parquet(path)
+
+
+def q_insights_json(spark, d, b="E"):
+    """S6, S12."""
+    path = _layer_path(spark, "insights-json")
+    io.write_json(_insights(spark, d, b).orderBy("rank"), path, single_file=True)
+    return _round_insights(io.read_insights_json(spark, path))
+
+
+def q_summary_json(spark, d, b="E"):
+    """The summary object; its time stamp must parse as UTC."""
+    path = _layer_path(spark, "summary-json")
+    a = _anomalies(spark, d, b)
+    made = I.summary(a, I.rank_insights(a))
+    io.write_json(made, path, single_file=True)
+    back = spark.read.schema(made.schema).json(path)
+    stamp = F.col("analysis_timestamp")
+    return back.select(*[c for c in back.columns if c != "analysis_timestamp"],
+                       (F.try_to_timestamp(stamp).isNotNull() & stamp.endswith("+00:00")).alias("utc_stamp"))
+
+
+def q_cohort_payload(spark, d, b="E"):
+    """The nested payload, its acquisition rows exploded again."""
+    path = _layer_path(spark, "cohort-json")
+    made = K.cohort_payload(_raw(spark, d, b))
+    io.write_json(made, path, single_file=True)
+    rows = spark.read.schema(made.schema).json(path).select(F.explode("acquisition_cohorts").alias("r"))
+    return rows.select("r.*")
+
+
+def q_sample_csv(spark, d, b="E"):
+    """The first 100 rows by time; a sample is the feature."""
+    path = _layer_path(spark, "sample-csv")
+    io.write_sample_csv(_raw(spark, d, b), path)
+    back = spark.read.option("header", True).csv(path)
+    return back.select("transaction_id", "week_number", "status", "decline_reason")
+
+
 def q_first_time_vs_returning(spark, d, b="E"):
     return K.first_time_vs_returning(_raw(spark, d, b))
 
@@ -247,7 +330,7 @@ def q_acquisition_cohorts(spark, d, b="E"):
 
 
 def q_cohort_matrix(spark, d, b="E"):
-    return K.cohort_matrix(K.acquisition_cohorts(_raw(spark, d, b)))
+    return K.cohort_matrix(cut_lineage(K.acquisition_cohorts(_raw(spark, d, b)), "cohorts"))
 
 
 def q_headline_trend(spark, d, b="E"):
@@ -319,6 +402,16 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "half_period_rate": q_half_period_rate,
         "segments_all": q_segments_all,
         "segment_drill_4d": q_segment_drill_4d,
+        "segment_drill": q_segment_drill,
+        "anomalies_split2": q_anomalies_split2,
+        "layer_raw": q_layer_raw,
+        "layer_segments": q_layer_segments,
+        "layer_anomalies": q_layer_anomalies,
+        "layer_view": q_layer_view,
+        "insights_json": q_insights_json,
+        "summary_json": q_summary_json,
+        "cohort_payload": q_cohort_payload,
+        "sample_csv": q_sample_csv,
         "declined_reason_segments": q_declined_reason_segments,
         "segment_dedup": q_segment_dedup,
         "period_join": q_period_join,

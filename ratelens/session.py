@@ -38,23 +38,25 @@ def get_spark(app: str = "ratelens", cpus: int | str | None = None,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests, the bench) is a private
-    folder created and registered.
+    Only a session on one machine (master ``local`` or ``local[...]``: tests,
+    the bench) may do without: it gets a private folder. Anywhere else an unset
+    folder raises, since executors could not read each other's files.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     # spark.checkpoint.dir is a static (core) setting: it cannot be set on a
-    # running session, so the private folder is only remembered here and
-    # registered with setCheckpointDir by ensure_checkpoint_dir.
+    # running session, so the private folder is only remembered here.
     global _LOCAL_ROOT
     if _LOCAL_ROOT is None:
         _LOCAL_ROOT = fallback or tempfile.mkdtemp(prefix="ratelens-ckpt-")
@@ -64,11 +66,18 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
 _LOCAL_ROOT: str | None = None
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Point RDD checkpoints at the shared checkpoint folder; returns it."""
-    path = checkpoint_root(spark, fallback)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+_LAYERS: list[str] = []
+
+
+def drop_layers(spark: SparkSession) -> int:
+    """Delete the layers ``cut_lineage`` has written since the last call; call it when the results
+    that read them are written."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _LAYERS:
+        path = jvm.org.apache.hadoop.fs.Path(_LAYERS.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 
 
 def cut_lineage(df: DataFrame, name: str = "layer") -> DataFrame:
@@ -82,5 +91,6 @@ def cut_lineage(df: DataFrame, name: str = "layer") -> DataFrame:
     """
     path = f"{checkpoint_root(df.sparkSession)}/layers/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _LAYERS.append(path)
     # the schema is known: no inference job on read-back
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,6 +1,6 @@
 """Alert when a segment's approval rate falls below a threshold, per sliding window.
 
-The same aggregation runs in batch (``alert_windows_batch``) and as a
+The same alert runs in batch (``alert_windows_batch``) and as a
 Structured Streaming query (``alert_stream``): event-time sliding windows with
 a watermark, append output, so late rows beyond the watermark are dropped and
 state for closed windows is released. A stream emits a window once the
@@ -32,10 +32,33 @@ def with_event_time(df: DataFrame) -> DataFrame:
     return df.withColumn("event_time", F.col("timestamp").cast("timestamp"))
 
 
-def _alerts(df: DataFrame, window: str, slide: str, threshold: float, min_n: int, dims) -> DataFrame:
-    agg = (df.groupBy(F.window("event_time", window, slide).alias("w"), *dims)
-           .agg(F.count(F.lit(1)).alias("total_transactions"),
-                F.count_if(is_approved()).alias("approved_transactions")))
+def _counts(df: DataFrame, window: str, slide: str | None, dims) -> DataFrame:
+    return (df.groupBy(F.window("event_time", window, slide).alias("w"), *dims)
+            .agg(F.count(F.lit(1)).alias("total_transactions"),
+                 F.count_if(is_approved()).alias("approved_transactions")))
+
+
+def _seconds(duration: str) -> int:
+    n, unit = duration.split()
+    return int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}[unit.rstrip("s")]
+
+
+def _windows_of_panes(df: DataFrame, window: str, slide: str, dims) -> DataFrame:
+    """The counts of sliding windows from those of panes of one slide: the rows are counted
+    once, and only the panes are expanded."""
+    width, step = _seconds(window), _seconds(slide)
+    if width % step:
+        return _counts(df, window, slide, dims)
+    panes = _counts(df, slide, None, dims)
+    start = F.timestamp_seconds(F.unix_timestamp("w.start") - F.col("k") * step)
+    return (panes.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(width // step - 1))))
+            .groupBy(start.alias("start"), *dims)
+            .agg(F.sum("total_transactions").alias("total_transactions"),
+                 F.sum("approved_transactions").alias("approved_transactions"))
+            .withColumn("w", F.struct("start", F.timestamp_seconds(F.unix_timestamp("start") + width).alias("end"))))
+
+
+def _alerts(agg: DataFrame, threshold: float, min_n: int, dims) -> DataFrame:
     rate = F.col("approved_transactions").cast("double") / F.col("total_transactions").cast("double")
     return (agg.withColumn("approval_rate", rate)
             .where((F.col("approval_rate") < F.lit(threshold)) & (F.col("total_transactions") >= F.lit(min_n)))
@@ -47,15 +70,15 @@ def _alerts(df: DataFrame, window: str, slide: str, threshold: float, min_n: int
 def alert_windows_batch(df: DataFrame, window: str = WINDOW, slide: str = SLIDE, threshold: float = THRESHOLD,
                         min_n: int = MIN_N, dims=DIMS) -> DataFrame:
     """Batch equivalent over a bounded table of raw transactions."""
-    return _alerts(with_event_time(df.where(F.col("timestamp").isNotNull())), window, slide, threshold, min_n,
-                   list(dims))
+    rows = with_event_time(df.where(F.col("timestamp").isNotNull()))
+    return _alerts(_windows_of_panes(rows, window, slide, list(dims)), threshold, min_n, list(dims))
 
 
 def alert_stream(stream: DataFrame, window: str = WINDOW, slide: str = SLIDE, threshold: float = THRESHOLD,
                  min_n: int = MIN_N, dims=DIMS, watermark: str = WATERMARK) -> DataFrame:
     """Streaming alerts over a stream of raw transactions (append mode)."""
-    return _alerts(with_event_time(stream).withWatermark("event_time", watermark), window, slide, threshold, min_n,
-                   list(dims))
+    rows = with_event_time(stream).withWatermark("event_time", watermark)
+    return _alerts(_counts(rows, window, slide, list(dims)), threshold, min_n, list(dims))
 
 
 def read_transactions_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -83,5 +83,5 @@ def test_against_pandas_on_binding(spark):
     cw = customer_weeks(raw).toPandas()
     assert cw.groupby("customer_id").cohort_week.nunique().max() == 1
     payload = cohort_payload(raw).collect()[0]
-    assert len(payload.first_time_vs_returning) == 6
+    assert len(payload.first_time_vs_returning) == 7  # the years 1995 to 2001
     assert isinstance(pd.DataFrame(payload.acquisition_cohorts), pd.DataFrame)

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from ratelens import session
 from ratelens.session import checkpoint_root, cut_lineage
 
@@ -20,6 +22,8 @@ def test_fallback_when_unset(spark, monkeypatch):
             return default
 
     class FakeCtx:
+        master = "local[2]"
+
         def getConf(self):
             return NoConf()
 
@@ -31,3 +35,23 @@ def test_fallback_when_unset(spark, monkeypatch):
     root = checkpoint_root(FakeSession())
     assert os.path.isdir(root) and os.path.basename(root).startswith("ratelens-ckpt-")
     assert checkpoint_root(FakeSession()) == root
+    FakeCtx.master = "spark://host:7077"
+    monkeypatch.setattr(session, "_LOCAL_ROOT", None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(FakeSession())
+
+
+def test_drop_layers_deletes_what_was_written(spark):
+    session.drop_layers(spark)
+    df = cut_lineage(spark.range(3), "gone")
+    assert df.count() == 3
+    assert session.drop_layers(spark) == 1
+    assert not any(name.startswith("gone-") for name in
+                   os.listdir(os.path.join(checkpoint_root(spark).replace("file:", ""), "layers")))
+
+
+def test_job_entry_sets_no_master():
+    import inspect
+
+    from ratelens.plans import jobs
+    assert ".master(" not in inspect.getsource(jobs) and "get_spark" not in inspect.getsource(jobs)

@@ -69,8 +69,14 @@ def test_amount_box_and_hourly(layers):
     enriched = layers[1]
     box = V.amount_box(enriched).collect()
     assert len(box) == 4 and all(r.min <= r.q1 <= r.median <= r.q3 <= r.max for r in box)
-    approx = V.amount_box(enriched, exact=False).collect()
-    assert [r.n for r in approx] == [r.n for r in box]
+    pdf = enriched.select("period_half", "status", "amount_usd").toPandas()
+    for few in (box, V.amount_box(enriched, buckets=3).collect()):
+        for r in few:
+            own = pdf[(pdf.period_half == r.period_half) & (pdf.status == r.status)].amount_usd
+            assert [r.q1, r.median, r.q3] == pytest.approx(own.quantile([0.25, 0.5, 0.75]).tolist())
+            assert (r.n, r["min"], r["max"]) == (len(own), own.min(), own.max()) and r["mean"] == pytest.approx(own.mean())
+    text = V.amount_box(enriched)._jdf.queryExecution().toString()
+    assert "percentile(" not in text
     hp = V.hourly_pattern(enriched)
     assert hp.agg(F.sum("total_transactions")).collect()[0][0] == enriched.count()
 
