@@ -45,6 +45,16 @@ def trainable(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 != 0, F.lit(False))
 
 
+#: Rows of an Arrow batch that are Python objects at one time.
+SLICE = 512
+
+
+def row_tuples(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The rows of a batch, turned into Python objects a slice at a time."""
+    for at in range(0, batch.num_rows, SLICE):
+        yield from zip(*(c.to_pylist() for c in batch.slice(at, SLICE).columns), strict=True)
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[Iterator[tuple]], Iterable[tuple]]],
              schema: T.StructType) -> DataFrame:
     """Arrow-batched row map: ``make()`` runs once per task and returns a function from the row
@@ -54,7 +64,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[Iterator[tuple]], Itera
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
-            rows = list(fn(zip(*(c.to_pylist() for c in batch.columns), strict=True)))
+            rows = list(fn(row_tuples(batch)))
             if rows:
                 cols = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(

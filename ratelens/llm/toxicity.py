@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, layer, map_rows, trainable, utf32
+from .common import held_out, layer, map_rows, row_tuples, trainable, utf32
 
 BUCKETS = 1 << 19
 SIZES = (3, 4, 5)
@@ -188,7 +188,7 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         import pyarrow as pa
         for b in batches:
-            keep = [sent.value.score(x) < 0.5 for x in b.column("text").to_pylist()]
+            keep = [sent.value.score(x) < 0.5 for (x,) in row_tuples(b.select(["text"]))]
             yield b.filter(pa.array(keep, type=pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
