@@ -102,5 +102,58 @@ LEFT JOIN n USING (doc_id)
 LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM both_ways GROUP BY a) k USING (doc_id)
 """
 
+OP6 = r"""
+WITH RECURSIVE m AS (
+  SELECT row_number() OVER () AS id, conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+l AS (
+  SELECT id, conv_id, turn, i, parts[i] AS line,
+         length(regexp_replace(regexp_extract(parts[i], '^((?:\s?>)+)', 1), '[^>]', '', 'g')) AS lev
+  FROM (SELECT *, string_split(text, chr(10)) AS parts FROM m), unnest(range(1, len(parts) + 1)) AS r(i)),
+b AS (
+  SELECT id, any_value(conv_id) AS conv_id, any_value(turn) AS turn,
+         list(line ORDER BY i) FILTER (WHERE lev = 0 AND NOT regexp_matches(line, '^On .* wrote:\s*$')) AS body
+  FROM l GROUP BY id),
+g AS (
+  SELECT id, conv_id, turn, lev, min(i) AS run,
+         list(regexp_replace(line, '^((?:\s?>)+)\s?', '') ORDER BY i) AS lines
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY id, lev ORDER BY i) AS island FROM l) x
+  WHERE lev > 0 AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY id, conv_id, turn, lev, island),
+a AS (
+  SELECT id, conv_id, turn, lev, run, part, trim(regexp_replace(lower(t), '\s+', ' ', 'g')) AS t FROM (
+    SELECT *, 0 AS part, array_to_string(lines, chr(10)) AS t FROM g
+    UNION ALL SELECT g.*, k, lines[k] FROM g, unnest(range(1, len(lines) + 1)) AS r(k)) y),
+o AS (
+  SELECT DISTINCT conv_id, turn, trim(regexp_replace(lower(t), '\s+', ' ', 'g')) AS t FROM (
+    SELECT conv_id, turn, array_to_string(body, chr(10)) AS t FROM b
+    UNION ALL SELECT conv_id, turn, unnest(body) FROM b) y
+  WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND regexp_matches(t, '[\p{L}\p{N}]')),
+inside AS (SELECT t, conv_id, min(turn) AS turn FROM o GROUP BY t, conv_id),
+whole AS (SELECT t, conv_id, turn FROM o QUALIFY row_number() OVER (PARTITION BY t ORDER BY conv_id, turn) = 1),
+c AS (
+  SELECT a.*, 0 AS far, i.conv_id AS p_conv, i.turn AS p_turn FROM a JOIN inside i USING (t, conv_id) WHERE i.turn < a.turn
+  UNION ALL SELECT a.*, 1, w.conv_id, w.turn FROM a JOIN whole w ON w.t = a.t WHERE w.conv_id < a.conv_id),
+p AS (
+  SELECT *, (SELECT count(DISTINCT d.run) FROM c d WHERE d.id = c.id) AS n_linked FROM c
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY lev, run, part, far, p_conv, p_turn) = 1),
+up AS (SELECT conv_id, turn, p_conv, p_turn FROM p
+       QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY p_conv, p_turn) = 1),
+chain(conv_id, turn, r_conv, r_turn, n) AS (
+  SELECT conv_id, turn, p_conv, p_turn, 1 FROM up
+  UNION ALL SELECT chain.conv_id, chain.turn, up.p_conv, up.p_turn, n + 1
+  FROM chain JOIN up ON up.conv_id = chain.r_conv AND up.turn = chain.r_turn),
+root AS (SELECT conv_id, turn, arg_max(r_conv, n) AS r_conv FROM chain GROUP BY conv_id, turn),
+q AS (SELECT id, count(*) AS n_quotes, max(lev) AS max_level FROM g GROUP BY id),
+f AS (
+  SELECT m.*, CASE WHEN m.turn IS NOT NULL THEN coalesce(root.r_conv, m.conv_id) END AS conversation,
+         coalesce(array_to_string(b.body, chr(10)), '') AS content, p.p_conv, p.p_turn, p.n_linked, q.n_quotes, q.max_level
+  FROM m JOIN b USING (id) LEFT JOIN p USING (id) LEFT JOIN q USING (id)
+  LEFT JOIN root ON root.conv_id = m.conv_id AND root.turn = m.turn)
+SELECT conversation,
+       CASE WHEN conversation IS NULL THEN 0 ELSE row_number() OVER (PARTITION BY conversation ORDER BY conv_id, turn) END AS position,
+       conv_id, turn, role, content, p_conv AS parent_conv, p_turn AS parent_turn,
+       coalesce(n_quotes, 0) AS n_quotes, coalesce(n_linked, 0) AS n_linked, coalesce(max_level, 0) AS max_level
+FROM f
+"""
+
 ORACLE: dict[str, str] = {"op1_benchmark_decontamination": OP1, "op2_exact_topk": OP2,
-                            "op8_ngram_jaccard": OP8, "op10_line_dedup": OP10}
+                            "op6_chat_formatting": OP6, "op8_ngram_jaccard": OP8, "op10_line_dedup": OP10}

@@ -332,6 +332,12 @@ def test_quotes_are_linked_and_removed(spark):
     assert got[3, 0].max_level == 2 and got[None, 0].conversation is None and got[None, 0].position == 0
     assert [got[k].position for k in ((1, 0), (1, 1), (1, 2), (2, 0))] == [1, 2, 3, 4]
     assert quote_links.link_quotes(df).count() == len(rows)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    rel = con.sql(ORACLE["op6_chat_formatting"])
+    assert sorted(rel.fetchall(), key=repr) == sorted(
+        map(tuple, quote_links.link_quotes(df).select(*rel.columns).collect()), key=repr)
     assert quote_links.link_quotes(df.limit(0)).count() == 0
 
 
