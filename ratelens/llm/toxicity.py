@@ -5,9 +5,10 @@ each hashed to one of ``BUCKETS``. A bucket's value is its log-count ratio betwe
 training texts; a logistic regression over these values gives the score (the NB-SVM construction
 of Wang and Manning, 2012, with a logistic loss).
 
-The classifier is fitted on a bounded sample of the labelled training rows: at most ``MAX_PER_CLASS``
-rows of each class, those of least xxhash64(doc_id); the weights of the classes restore the
-proportion of all labelled training rows. Scoring reads every whole text.
+The log-count ratios count every labelled training row. Only the regression over them is fitted on a
+bounded sample of these rows: at most ``MAX_PER_CLASS`` of each class, those of least
+xxhash64(doc_id); the weights of the classes restore the proportion of all labelled training rows.
+Scoring reads every whole text.
 
 Defined results: a null text is the empty text; a text without an n-gram gets the score of the
 intercept; without a training row of both classes every score is the share of toxic labels (0
@@ -26,12 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, layer, map_rows, row_tuples, trainable, utf32
+from .common import held_out, layer, map_rows, row_tuples, small_side, trainable, utf32
 
 BUCKETS = 1 << 19
 SIZES = (3, 4, 5)
-MAX_PER_CLASS = 2500
-#: Buckets the regression may use: those seen in this many sample texts at least, then the
+MAX_PER_CLASS = 4000
+#: Buckets the regression may use: those seen in this many training texts at least, then the
 #: strongest by |ratio| * sqrt(texts).
 MIN_TEXTS, MAX_FEATURES = 4, 30_000
 ALPHA, L2, ROUNDS = 1.0, 1e-3, 150
@@ -101,14 +102,17 @@ COUNTS = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("
 BUCKETS_OF = T.StructType([T.StructField("toxic", T.IntegerType()), T.StructField("f", T.BinaryType())])
 
 
-def _count_task():
-    def rows(batch):
-        seen = np.zeros((2, BUCKETS), dtype=np.int64)
-        for toxic, text in batch:
+def _count(batches):
+    """Texts of each class that hold a bucket, folded over a task: a fixed size, whatever it reads."""
+    import pyarrow as pa
+
+    seen = np.zeros((2, BUCKETS), dtype=np.int64)
+    for batch in batches:
+        for toxic, text in row_tuples(batch):
             seen[toxic, features(text)] += 1
-        hit = np.flatnonzero(seen.any(axis=0))
-        yield from zip(hit.tolist(), seen[1, hit].tolist(), seen[0, hit].tolist(), strict=True)
-    return rows
+    hit = np.flatnonzero(seen.any(axis=0))
+    yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(seen[1, hit]), pa.array(seen[0, hit])],
+                                     names=[f.name for f in COUNTS])
 
 
 def _feature_task(kept: np.ndarray):
@@ -128,8 +132,8 @@ def _constant(total: dict[int, int]) -> Model:
 
 def train(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS) -> Model:
     """Fit on ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``; see the module for the bound."""
-    rows = (labels.where(trainable(F.col("doc_id")) & F.col("toxic").isin(0, 1)).groupBy("doc_id")
-            .agg(F.max("toxic").cast("int").alias("toxic")))
+    rows = layer(labels.where(trainable(F.col("doc_id")) & F.col("toxic").isin(0, 1)).groupBy("doc_id")
+                 .agg(F.max("toxic").cast("int").alias("toxic")), "toxicity-labels")
     total = {x["toxic"]: x["n"] for x in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(total) < 2:
         return _constant(total)
@@ -138,8 +142,8 @@ def train(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS
     # the sample has at most 2 * max_per_class rows of two numbers: a proven bound for a broadcast
     sample = docs.select("doc_id", "text").join(
         F.broadcast(layer(part[0].union(part[1]), "toxicity-sample")), "doc_id").select("toxic", "text")
-    counts = (map_rows(sample, _count_task, COUNTS).groupBy("bucket")
-              .agg(F.sum("toxic").alias("p"), F.sum("other").alias("q")))
+    every = docs.select("doc_id", "text").join(small_side(rows, 24), "doc_id").select("toxic", "text")
+    counts = every.mapInArrow(_count, COUNTS).groupBy("bucket").agg(F.sum("toxic").alias("p"), F.sum("other").alias("q"))
     counts = layer(counts, "toxicity-counts")  # a row a bucket
     p_sum, q_sum, n = counts.agg(F.sum("p"), F.sum("q"), F.count("*")).first()
     if not n:

@@ -114,6 +114,23 @@ def test_toxicity_little_to_learn(spark, labels):
     assert got.count() == 4 and all(0 <= r.score <= 1 for r in got.collect())
 
 
+def test_toxicity_counts_every_training_row(spark, monkeypatch):
+    """The ratios and their counts come from all labelled training rows, the regression from its sample."""
+    ids = [i for i in range(1, 200) if not held(i)]
+    docs = spark.createDataFrame([(i, f"word{i % 7} and {'vile' if i % 3 == 0 else 'kind'} x{i}") for i in ids],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in ids], "doc_id long, toxic int")
+    p, q = np.zeros(toxicity.BUCKETS), np.zeros(toxicity.BUCKETS)
+    for r in docs.collect():
+        (p if r.doc_id % 3 == 0 else q)[toxicity.features(r.text)] += 1
+    ratio = np.log((p + 1) / (p.sum() + toxicity.BUCKETS)) - np.log((q + 1) / (q.sum() + toxicity.BUCKETS))
+    kept, got = np.flatnonzero(p + q >= toxicity.MIN_TEXTS), []
+    monkeypatch.setattr(toxicity, "_fit", lambda texts, r, toxic, weight: got.append((len(texts), r)) or (r, 0.0))
+    toxicity.train(docs, labels, max_per_class=5)
+    assert got[0][0] == 10 and len(got[0][1]) == len(kept) and np.allclose(got[0][1], ratio[kept])
+    assert toxicity.MAX_PER_CLASS == 4000
+
+
 def test_keep_clean_keeps_rows_and_columns(spark):
     w = np.zeros(toxicity.BUCKETS, np.float32)
     w[toxicity.features("moron")] = 9
