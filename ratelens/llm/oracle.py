@@ -155,5 +155,99 @@ SELECT conversation,
 FROM f
 """
 
+OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, doc_id, source, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS l
+  FROM documents),
+win AS (SELECT id, i, array_to_string(w[i:i+7], ' ') AS s FROM d, unnest(range(1, len(w) - 6)) AS r(i) WHERE len(w) > 8),
+twice AS (SELECT id, i FROM win QUALIFY count(*) OVER (PARTITION BY id, s) > 1),
+rep AS (SELECT id, count(DISTINCT i + k) AS n FROM twice, unnest(range(0, 8)) AS r(k) GROUP BY id),
+m AS (
+  SELECT d.id, doc_id, source, len(w) AS n_words,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN rep ON rep.id = d.id),
+f AS (
+  SELECT *, n_words < 20 AS short, 100 * n_repeat_words > 30 * n_words AS repetitive, 10 * n_symbols > n_words AS symbols,
+         n_words > 0 AND (word_chars < 3 * n_words OR word_chars > 10 * n_words) AS word_length,
+         100 * n_dup_lines > 30 * n_lines AS dup_lines
+  FROM m),
+r AS (
+  UNPIVOT (SELECT source, count(*) AS n, sum(short::INT) AS short, sum(repetitive::INT) AS repetitive, sum(symbols::INT) AS symbols,
+                  sum(word_length::INT) AS word_length, sum(dup_lines::INT) AS dup_lines
+           FROM f WHERE source <> '' GROUP BY source)
+  ON short, repetitive, symbols, word_length, dup_lines INTO NAME rule VALUE failed),
+s AS (SELECT rule, avg(failed / n) AS mean, var_samp(failed / n) AS v, avg(1 / n) AS inv FROM r GROUP BY rule),
+u AS (SELECT *, (v - mean * (1 - mean) * inv) / nullif(1 - inv, 0) AS spread FROM s),
+p AS (SELECT rule, mean, least(greatest(CASE WHEN spread > 0 THEN mean * (1 - mean) / spread - 1 ELSE 10000 END, 2), 10000) AS k FROM u),
+g AS (SELECT source, rule, n + k AS total, (failed + mean * k) / (n + k) AS rate FROM r JOIN p USING (rule)),
+bad AS (SELECT DISTINCT source FROM g WHERE rate - 2 * sqrt(rate * (1 - rate) / (total + 1)) > 0.5)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repetitive AS base_failed,
+       bad.source IS NOT NULL AS host_failed, NOT (short OR repetitive) AND bad.source IS NULL AS kept
+FROM f LEFT JOIN bad ON bad.source = f.source
+"""
+
+OP12 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(coalesce(list_sum(list_transform(list_zip(a.e, c.e), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+  FROM v a JOIN v c ON c.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, s.vec_id AS negative_id,
+       positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+# crc32 bit by bit over the bytes of the decimal id
+OP13 = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base, xor(4294967295::UBIGINT, list_reduce(
+    list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+    lambda x, y: list_reduce(list_prepend(xor(x, y), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
+      lambda a, b: xor(a >> 1, 3988292384::UBIGINT * (a & 1))))) % 4 AS h
+  FROM t),
+b AS (
+  SELECT c.conv_id, t.pos, t.role, t.text FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL SELECT t.conv_id, t.pos, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h),
+r AS (
+  SELECT c.conv_id, coalesce(list({'r': role, 't': text} ORDER BY pos) FILTER (WHERE pos IS NOT NULL), []) AS path
+  FROM c LEFT JOIN b USING (conv_id) GROUP BY c.conv_id),
+m AS (SELECT conv_id, d AS depth, path[1:d] AS node, len(path) = d AS ends FROM r, unnest(range(0, len(path) + 1)) AS x(d)),
+n AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ends
+  FROM m GROUP BY node, depth),
+k AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+w AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+         CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(node[depth].t, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM n LEFT JOIN k USING (node)),
+sub AS (
+  SELECT node[1:d] AS node, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM w, unnest(range(0, depth + 1)) AS x(d) GROUP BY 1)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, sub.n_leaves, sub.saved_tokens,
+       sha256(w.ends) AS ends_sha256
+FROM w JOIN sub ON sub.node = w.node LEFT JOIN n p ON w.depth > 0 AND p.node = w.node[1:w.depth - 1]
+"""
+
 ORACLE: dict[str, str] = {"op1_benchmark_decontamination": OP1, "op2_exact_topk": OP2,
-                            "op6_chat_formatting": OP6, "op8_ngram_jaccard": OP8, "op10_line_dedup": OP10}
+                            "op6_chat_formatting": OP6, "op8_ngram_jaccard": OP8, "op10_line_dedup": OP10,
+                            "op11_quality_rules": OP11, "op12_hard_negatives": OP12, "op13_prefix_trie": OP13}

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, line_dedup, ngram_join, packing, pii, quote_links, token_counts, topk, toxicity
+from . import (decontaminate, hard_negatives, host_quality, langid, line_dedup, ngram_join, packing, pii, prefix_trie,
+               quote_links, token_counts, topk, toxicity)
 from .common import table
 
 
@@ -70,7 +71,28 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = host_quality.judge(table(spark, sf_dir, "documents"), domain="source")
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "host_failed", "kept")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved)
+    found = hard_negatives.mine(vectors, vectors.where(F.col("vec_id") % 100 == 0), positives=5, k=10, low=30, high=90)
+    return found.drop("positive_rank")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col("conv_id")
+    heads = F.crc32(c.cast("string").cast("binary")) % 4
+    trie = prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"), base=c - c % 20, heads=heads, max_heads=3)
+    return trie.drop("key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_benchmark_decontamination, op2_exact_topk, op3_pii, op4_toxicity, op5_language_id,
-                            op6_chat_formatting, op7_packing, op8_ngram_jaccard, op9_token_counts, op10_line_dedup)
+                            op6_chat_formatting, op7_packing, op8_ngram_jaccard, op9_token_counts, op10_line_dedup,
+                            op11_quality_rules, op12_hard_negatives, op13_prefix_trie)
 }
