@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import contracts as C
 from ..functions.columns import half_labels, lookup
-from ..functions.stats import standardize, two_proportion_p_value
+from ..functions.stats import standardize, two_proportion_p_value, with_p_value
 from ..session import cut_lineage
 
 # Types that are artefacts of the cube for the period comparison (see README).
@@ -71,9 +71,12 @@ def detect_anomalies(segments: DataFrame, exclude_types: tuple[str, ...] = (),
                      weeks_per_period: float = C.WEEKS_PER_PERIOD, weeks_per_month: float = C.WEEKS_PER_MONTH,
                      z_threshold: float = C.ANOMALY_Z, p_threshold: float = C.ANOMALY_P,
                      min_affected: int = C.ANOMALY_MIN_AFFECTED, keep_measures: bool = False,
-                     split_week: int = C.SPLIT_WEEK, n_weeks: int = C.N_WEEKS) -> DataFrame:
+                     split_week: int = C.SPLIT_WEEK, n_weeks: int = C.N_WEEKS,
+                     p_method: str = "polynomial") -> DataFrame:
     """ANOMALY rows for every baseline segment.
 
+    ``p_method`` names the tail of the p-value: ``polynomial`` or ``exact`` (``functions.stats``).
+
     By default the cube's artefact rows (time_weekly keys that exist in one
     half only, declined-only types with rate 0) stay in, as in the reference:
     they enter the mean/std of the z-score. ``exclude_types=ARTEFACT_TYPES``
@@ -101,6 +104,9 @@ def detect_anomalies(segments: DataFrame, exclude_types: tuple[str, ...] = (),
         affected.cast("long").alias("affected_transactions"),
         ((affected.cast("double") / F.lit(float(weeks_per_period))) * avg_ticket
          * F.abs(F.col("rate_change")) * F.lit(float(weeks_per_month))).alias("estimated_revenue_impact_usd"))
+    if p_method != "polynomial":
+        scored = with_p_value(scored, "baseline_approved", "baseline_total", "current_approved", "current_total",
+                              method=p_method)
     flagged = scored.withColumn(
         "is_anomaly",
         ((F.abs(F.col("z_score")) > F.lit(z_threshold)) | (F.col("p_value") < F.lit(p_threshold)))

@@ -174,13 +174,14 @@ def _finish(df: DataFrame) -> DataFrame:
     return C.conform(out, C.SEGMENT)
 
 
-def segment_cube(df: DataFrame, definitions: dict | None = None, declined_only: dict | None = None,
+def segment_cube(df: DataFrame | None, definitions: dict | None = None, declined_only: dict | None = None,
                  split_week: int = C.SPLIT_WEEK, n_weeks: int = C.N_WEEKS,
-                 base: DataFrame | None = None) -> DataFrame:
+                 base: DataFrame | None = None, only_periods: list[str] | None = None) -> DataFrame:
     """All segment rows (SEGMENT contract) for every definition and period.
 
     ``df`` is raw or enriched transactions; pass ``base`` (from
     ``base_aggregate(enriched, defs)``) to reuse an already computed base.
+    ``only_periods`` rolls up no other periods (``operators.incremental``).
     """
     defs = _definitions(definitions, declined_only)
     if base is None:
@@ -195,7 +196,7 @@ def segment_cube(df: DataFrame, definitions: dict | None = None, declined_only:
     # aggregate, so the two branches no longer share its shuffle.)
     periods = F.array(week_label(WEEK), period_half(WEEK, split_week, n_weeks), F.lit("all"))
     rolled = (weekly.withColumn("period", F.explode(periods))
-              .where(F.col("period").isNotNull())
+              .where(F.col("period").isNotNull() if only_periods is None else F.col("period").isin(only_periods))
               .groupBy(*keys, "period")
               .agg(*[_sum_wide(m).alias(m) for m in MEASURES]))
     return _finish(rolled)

@@ -126,17 +126,23 @@ def waterfall(enriched: DataFrame, split_week: int = C.SPLIT_WEEK, n_weeks: int
 BOX_BUCKETS = 256
 
 
-def amount_box(enriched: DataFrame, buckets: int = BOX_BUCKETS) -> DataFrame:
+def amount_counts(enriched: DataFrame) -> DataFrame:
+    """A written layer of rows (c) per half, status and distinct amount (a)."""
+    return cut_lineage(enriched.groupBy("period_half", "status", F.col("amount_usd").alias("a"))
+                       .agg(F.count(F.lit(1)).alias("c")), "amount-counts")
+
+
+def amount_box(enriched: DataFrame | None, buckets: int = BOX_BUCKETS, counts: DataFrame | None = None) -> DataFrame:
     """V5: box statistics of amount_usd by half x status, with exact quantiles.
 
     The rows are counted per distinct amount once; the amounts of a group are
     split into ``buckets`` ranges by approximate quantiles, the counts of the
     ranges (at most ``buckets`` a group) are summed up, and only the ranges that
-    hold a wanted rank are ordered. No task ever holds a whole group.
+    hold a wanted rank are ordered. No task ever holds a whole group. ``counts`` (``amount_counts``)
+    may be given in place of the rows.
     """
     group = ["period_half", "status"]
-    counts = cut_lineage(enriched.groupBy(*group, F.col("amount_usd").alias("a")).agg(F.count(F.lit(1)).alias("c")),
-                         "amount-counts")
+    counts = amount_counts(enriched) if counts is None else counts
     known = F.col("a").isNotNull()
     edges = F.array(*(F.lit(i / buckets) for i in range(1, buckets)))
     box = counts.groupBy(*group).agg(

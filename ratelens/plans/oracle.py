@@ -359,6 +359,179 @@ def q(ctes: list[str], select: str) -> str:
     return with_(*ctes) + select
 
 
+# --------------------------------------------------------------------------- exact tail, states, changes, history
+
+def erfc_sql(x: str) -> str:
+    """erfc(x) for x >= 0: the series of erf in nested form below 2, a continued fraction from there on."""
+    series = (f"list_reduce(list_prepend(CAST(1.0 AS DOUBLE), list_transform(range(80, 0, -1), lambda i: CAST(i AS DOUBLE))), "
+              f"lambda a, i: 1.0 + a * 2.0 * {x} * {x} / (2.0 * i + 1.0))")
+    fraction = (f"list_reduce(list_prepend({x}, list_transform(range(300, 0, -1), lambda i: CAST(i AS DOUBLE))), "
+                f"lambda a, i: {x} + (i / 2.0) / a)")
+    return (f"CASE WHEN {x} < 2.0 THEN 1.0 - 2.0 / sqrt(pi()) * {x} * exp(-{x} * {x}) * {series} "
+            f"ELSE exp(-{x} * {x}) / sqrt(pi()) / {fraction} END")
+
+
+def exact_pvalue_ctes(src: str = "cmp") -> list[str]:
+    ctes = pvalue_ctes(src)[:-1]
+    ctes.append("pv5 AS (SELECT *, az / sqrt(2.0) AS x FROM pv4)")
+    ctes.append(f"pv AS (SELECT * EXCLUDE (c1, n1, c2, n2, pool, se, az, x), CASE WHEN n1 = 0 OR n2 = 0 OR pool = 0 OR pool = 1 "
+                f"OR se = 0 THEN 1.0 ELSE {erfc_sql('x')} END AS p_value FROM pv5)")
+    return ctes
+
+
+def judged_window_ctes() -> list[str]:
+    """Six-hour windows an hour apart with at least five transactions, and each segment's state before."""
+    return [
+        "jw0 AS (SELECT *, date_trunc('hour', timestamp) - to_hours(k) + to_hours(6) AS we FROM raw, "
+        "(SELECT unnest(range(0, 6)) AS k) t WHERE timestamp IS NOT NULL)",
+        f"jw1 AS (SELECT country, we, count(*) AS n, {APPROVED_N} AS ok FROM jw0 GROUP BY country, we HAVING count(*) >= 5)",
+        f"jw2 AS (SELECT *, CAST(ok AS DOUBLE) / CAST(n AS DOUBLE) AS rate, CAST(ok AS DOUBLE) / CAST(n AS DOUBLE) < {s(0.6)} AS low FROM jw1)",
+        "jw AS (SELECT *, coalesce(lag(low) OVER (PARTITION BY country ORDER BY we), FALSE) AS was, "
+        "lead(we) OVER (PARTITION BY country ORDER BY we) AS nxt FROM jw2)"]
+
+
+def change_ctes(src: str, keys: str) -> list[str]:
+    """Two-rate against one-rate binomial likelihood for every split of ``src`` (keys, w, k, n)."""
+    def ll(k, n):
+        return (f"((CASE WHEN {k} > 0 THEN {k} * ln({k} / {n}) ELSE 0.0 END) + "
+                f"(CASE WHEN {n} - {k} > 0 THEN ({n} - {k}) * ln(({n} - {k}) / {n}) ELSE 0.0 END))")
+    part = f"PARTITION BY {keys}"
+    return [
+        f"cs AS (SELECT {keys}, w, CAST(k AS DOUBLE) AS k, CAST(n AS DOUBLE) AS n FROM {src} WHERE w IS NOT NULL AND n > 0)",
+        f"""cp0 AS (SELECT a.*, b.w AS cw, a.n1, a.kt - a.k1 AS k2, a.nt - a.n1 AS n2 FROM (
+    SELECT *, sum(k) OVER ({part} ORDER BY w) AS k1, sum(n) OVER ({part} ORDER BY w) AS n1, sum(k) OVER ({part}) AS kt,
+           sum(n) OVER ({part}) AS nt, count(*) OVER ({part}) AS n_weeks, row_number() OVER ({part} ORDER BY w) AS i FROM cs) a
+    JOIN (SELECT *, row_number() OVER ({part} ORDER BY w) AS i FROM cs) b
+    ON {" AND ".join(f"a.{x.strip()} = b.{x.strip()}" for x in keys.split(","))} AND b.i = a.i + 1)""",
+        f"cp1 AS (SELECT *, round(greatest(2 * ({ll('k1', 'n1')} + {ll('k2', 'n2')} - {ll('kt', 'nt')}), 0.0), 9) AS lr FROM cp0)",
+        f"""cp AS (SELECT *, k1 / n1 AS rate_before, k2 / n2 AS rate_after, sqrt(lr) / sqrt(2.0) AS x FROM cp1
+    QUALIFY row_number() OVER ({part} ORDER BY lr DESC, cw) = 1)"""]
+
+
+def disjoint_ctes() -> list[str]:
+    """The greedy cover unrolled: each step picks the insight with the most impact among the rows left."""
+    defs = C.SEGMENT_DEFINITIONS | C.DECLINED_ONLY_SEGMENT_DEFINITIONS
+    keys = " ".join(f"WHEN {s(t)} THEN " + " || '|' || ".join(f"CAST({d} AS VARCHAR)" for d in dims) for t, dims in defs.items())
+    declined = ", ".join(s(t) for t in C.DECLINED_ONLY_SEGMENT_DEFINITIONS)
+    usd = f"CAST(0.0001 AS DOUBLE) / {s(float(C.WEEKS_PER_PERIOD))} * {s(float(C.WEEKS_PER_MONTH))}"
+    ctes = [
+        "pick AS (SELECT segment_type, segment_key, abs(rate_change) AS ch FROM rk)",
+        f"cur AS (SELECT row_number() OVER () AS id, * FROM enriched WHERE period_half = '{C_HALF}')",
+        f"""m1 AS (SELECT cur.id, CAST(round(amount_usd * 10000) AS BIGINT) AS u, pick.* FROM cur JOIN pick
+    ON CASE pick.segment_type {keys} END IS NOT DISTINCT FROM pick.segment_key
+    AND (pick.segment_type NOT IN ({declined}) OR decline_reason IS NOT NULL))""",
+        "full_ AS (SELECT segment_type, segment_key, CAST(sum(u) AS DOUBLE) * any_value(ch) AS full_gain FROM m1 GROUP BY 1, 2)",
+        "t1 AS (SELECT * FROM pick)"]
+    for i in range(1, C.TOP_N + 1):
+        ctes += [
+            f"""p{i} AS (SELECT t.segment_type, t.segment_key, count(m.id) AS n, coalesce(CAST(sum(u) AS DOUBLE), 0.0) * any_value(t.ch) AS gain
+    FROM t{i} t LEFT JOIN m{i} m ON m.segment_type = t.segment_type AND m.segment_key IS NOT DISTINCT FROM t.segment_key
+    GROUP BY 1, 2 ORDER BY gain DESC, 1, 2 LIMIT 1)""",
+            f"t{i + 1} AS (SELECT * FROM t{i} t WHERE NOT EXISTS (SELECT 1 FROM p{i} p WHERE p.segment_type = t.segment_type "
+            f"AND p.segment_key IS NOT DISTINCT FROM t.segment_key))",
+            f"m{i + 1} AS (SELECT * FROM m{i} WHERE id NOT IN (SELECT m.id FROM m{i} m JOIN p{i} p ON m.segment_type = p.segment_type "
+            f"AND m.segment_key IS NOT DISTINCT FROM p.segment_key))"]
+    steps = " UNION ALL ".join(f"SELECT {i} AS step, * FROM p{i}" for i in range(1, C.TOP_N + 1))
+    ctes.append(f"""dj AS (SELECT CAST(step AS INTEGER) AS step, a.segment_type, a.segment_key, n AS charged_transactions,
+    round(gain * ({usd}), 6) AS charged_impact_usd, round(coalesce(full_gain, 0.0) * ({usd}), 6) AS full_impact_usd
+    FROM ({steps}) a LEFT JOIN full_ f ON f.segment_type = a.segment_type AND f.segment_key IS NOT DISTINCT FROM a.segment_key)""")
+    return ctes
+
+
+def asof_ctes() -> list[str]:
+    """History of all earlier days per issuer, country and overall; moments of the groups give each prior's weight."""
+    def history(name, dims):
+        on = " AND ".join([f"x.{d} IS NOT DISTINCT FROM g.{d}" for d in dims] + ["CAST(x.timestamp AS DATE) < days.day"])
+        cols = "".join(f"g.{d}, " for d in dims)
+        groups = f"(SELECT DISTINCT {', '.join(dims)} FROM raw WHERE timestamp IS NOT NULL) g" if dims else "(SELECT 1) g"
+        return (f"{name} AS (SELECT {cols}days.day, count(x.transaction_id) AS n, count(*) FILTER (WHERE x.status = 'approved') AS k "
+                f"FROM days CROSS JOIN {groups} LEFT JOIN raw x ON {on} GROUP BY {cols}days.day)")
+
+    def weight(name, src):
+        return (f"""{name} AS (SELECT day, CASE WHEN nn > 0 AND v > 0 AND rho > 0 THEN least(greatest((1 - rho) / rho, 1.0), 10000.0)
+    ELSE 10000.0 END AS w FROM (SELECT *, (sp - kk * kk / nullif(nn, 0)) / nullif(v, 0) - (g - 1) AS ex,
+      ex / nullif(nn - s2 / nullif(nn, 0) - (g - 1), 0) AS rho FROM (
+      SELECT day, count(*) FILTER (WHERE n > 0) AS g, CAST(sum(n) AS DOUBLE) AS nn, CAST(sum(k) AS DOUBLE) AS kk,
+             sum(CAST(n AS DOUBLE) * n) AS s2, coalesce(sum(CAST(k AS DOUBLE) * k / nullif(n, 0)), 0.0) AS sp,
+             kk / nullif(nn, 0) * (1 - kk / nullif(nn, 0)) AS v FROM {src} GROUP BY day)))""")
+
+    return [
+        "days AS (SELECT CAST(unnest(generate_series(min(CAST(timestamp AS DATE)), max(CAST(timestamp AS DATE)), INTERVAL 1 DAY)) AS DATE) AS day FROM raw)",
+        history("h0", []), history("h1", ["country"]), history("h2", ["country", "issuer_bank"]),
+        weight("w1", "h1"), weight("w2", "h2"),
+        "e1 AS (SELECT h1.*, (h1.k + w * ((h0.k + 1.0) / (h0.n + 2.0))) / (h1.n + w) AS p FROM h1 JOIN w1 USING (day) JOIN h0 USING (day))",
+        """e2 AS (SELECT h2.*, (h2.k + w * e1.p) / (h2.n + w) AS p FROM h2 JOIN w2 USING (day)
+    JOIN e1 ON e1.day = h2.day AND e1.country IS NOT DISTINCT FROM h2.country)"""]
+
+
+def new_rows(b: str, E: list[str], R: list[str], seg: list[str]) -> dict[str, str]:
+    out: dict[str, str] = {}
+    log_p = "round(log10(p_value), 6) AS log10_p"
+    out["ztest_pvalue_exact"] = q(seg + compare_ctes() + exact_pvalue_ctes(), (
+        "SELECT segment_key, baseline_approved, baseline_total, current_approved, current_total, "
+        f"round(p_value, 12) AS p_value, {log_p} FROM pv"))
+    an = anomaly_ctes()
+    polynomial = set(pvalue_ctes("cmp"))
+    at = next(i for i, c in enumerate(an) if c in polynomial)
+    out["anomalies_exact_p"] = q(seg + an[:at] + exact_pvalue_ctes() + [c for c in an[at:] if c not in polynomial],
+                                 f"SELECT {ANOMALY_COLS} FROM an")
+    stamp = "strftime({0}, '%Y-%m-%d %H:%M:%S')"
+    out["alert_episodes"] = q(R + judged_window_ctes() + [
+        "isl AS (SELECT *, count(*) FILTER (WHERE low AND NOT was) OVER (PARTITION BY country ORDER BY we) AS island FROM jw)"], (
+        f"SELECT country, {stamp.format('min(we)')} AS fell_at, {stamp.format('arg_max_null(nxt, we)')} AS recovered_at, "
+        "count(*) AS n_windows, min(rate) AS lowest_rate FROM isl WHERE low GROUP BY country, island"))
+    out["alert_stream"] = q(R + judged_window_ctes(), (
+        f"SELECT country, CASE WHEN low THEN 'fell' ELSE 'recovered' END AS event, {stamp.format('we')} AS window_end, "
+        "n AS total_transactions, ok AS approved_transactions, rate AS approval_rate FROM jw WHERE low <> was "
+        "AND we <= (SELECT max(timestamp) FROM raw) - INTERVAL 2 HOURS"))
+    out["segments_incremental"] = q(seg, "SELECT * FROM seg")
+    first = """cw AS (SELECT customer_id, week_number AS cohort_week FROM raw WHERE customer_id IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY timestamp ASC NULLS FIRST, transaction_id) = 1)"""
+    early = "coalesce(r.week_number <= 3, FALSE)"
+    out["cohort_retention"] = q(R + [first, f"""ret AS (
+  SELECT cohort_week, customer_id, bool_or({early}) AS e, bool_or(NOT {early}) AS l FROM raw r JOIN cw USING (customer_id) GROUP BY 1, 2)""",
+                                     """rs AS (SELECT cohort_week, count(*) AS n_customers, count(*) FILTER (WHERE e) AS n_early,
+    count(*) FILTER (WHERE l) AS n_late, count(*) FILTER (WHERE e AND l) AS n_retained FROM ret GROUP BY 1)"""],
+                                f"SELECT *, {ratio4('n_retained', 'n_early')} AS retention_rate FROM rs")
+    p = f"least(1.0, ({erfc_sql('x')}) * (n_weeks - 1))"
+    src = ("src AS (SELECT segment_type, segment_key, CAST(substr(period, 6) AS INTEGER) AS w, approved_transactions AS k, "
+           "total_transactions AS n FROM seg WHERE period LIKE 'week\\_%' ESCAPE '\\' AND segment_key IS NOT NULL AND segment_type <> 'time_weekly')")
+    out["change_points"] = q(seg + [src] + change_ctes("src", "segment_type, segment_key"), (
+        "SELECT segment_type, segment_key, cw AS change_week, round(rate_before, 6) AS rate_before, round(rate_after, 6) AS rate_after, "
+        f"round(lr, 6) AS lr_statistic, round({p}, 6) AS p_value, n_weeks FROM cp"))
+    over_all = "src AS (SELECT 0 AS every, week_number AS w, approved_transactions AS k, total_transactions AS n FROM trend)"
+    out["headline_trend_found"] = q(R + [trend_cte(), over_all] + change_ctes("src", "every"), (
+        f"SELECT week_number, total_transactions, approval_rate, {band_sql('approval_rate')} AS rate_band, "
+        f"{s(C.TARGET_THRESHOLD)} AS target_rate, approval_rate < {s(C.TARGET_THRESHOLD)} AS below_target, "
+        "COALESCE(week_number = (SELECT cw FROM cp), FALSE) AS is_inflection FROM trend"))
+    out["disjoint_impact"] = q(seg + anomaly_ctes() + candidate_ctes() + score_ctes() + topk_ctes() + disjoint_ctes(),
+                               "SELECT * FROM dj")
+    out["risk_score_asof"] = q(R + asof_ctes(), (
+        "SELECT transaction_id, r.country, r.issuer_bank, coalesce(n, 0) AS hist_n, coalesce(k, 0) AS hist_approved, "
+        "round(coalesce(p, 0.5), 6) AS expected_approval, round(1.0 - coalesce(p, 0.5), 6) AS risk_score FROM raw r LEFT JOIN e2 "
+        "ON e2.day = CAST(r.timestamp AS DATE) AND e2.country IS NOT DISTINCT FROM r.country "
+        "AND e2.issuer_bank IS NOT DISTINCT FROM r.issuer_bank"))
+    box = ("bx AS (SELECT period_half, status, count(amount_usd) AS n, min(amount_usd) AS min, quantile_cont(amount_usd, 0.25) AS q1, "
+           "quantile_cont(amount_usd, 0.5) AS median, quantile_cont(amount_usd, 0.75) AS q3, max(amount_usd) AS max "
+           "FROM enriched GROUP BY 1, 2)")
+    low, high = "bx.q1 - (bx.q3 - bx.q1) * 1.5", "bx.q3 + (bx.q3 - bx.q1) * 1.5"
+    out["amount_box_whiskers"] = q(E + [box], (
+        "SELECT bx.period_half, bx.status, any_value(bx.n) AS n, any_value(bx.min) AS min, round(any_value(bx.q1), 6) AS q1, "
+        "round(any_value(bx.median), 6) AS median, round(any_value(bx.q3), 6) AS q3, any_value(bx.max) AS max, "
+        f"min(amount_usd) FILTER (WHERE amount_usd >= {low}) AS lower_whisker, "
+        f"max(amount_usd) FILTER (WHERE amount_usd <= {high}) AS upper_whisker, "
+        f"count(*) FILTER (WHERE amount_usd < {low}) AS n_below, count(*) FILTER (WHERE amount_usd > {high}) AS n_above "
+        "FROM enriched e JOIN bx ON e.period_half = bx.period_half AND e.status = bx.status GROUP BY 1, 2"))
+    out["hourly_rates_dense"] = q(R + [
+        "hours AS (SELECT unnest(generate_series(min(date_trunc('hour', timestamp)), max(date_trunc('hour', timestamp)), INTERVAL 1 HOUR)) AS h FROM raw)",
+        "places AS (SELECT DISTINCT country FROM raw WHERE timestamp IS NOT NULL)",
+        f"hr AS (SELECT country, date_trunc('hour', timestamp) AS h, count(*) AS n, {APPROVED_N} AS k FROM raw WHERE timestamp IS NOT NULL GROUP BY 1, 2)"], (
+        "SELECT places.country, strftime(hours.h, '%Y-%m-%d %H:%M:%S') AS bucket, coalesce(n, 0) AS total_transactions, "
+        "coalesce(k, 0) AS approved_transactions, CAST(k AS DOUBLE) / CAST(n AS DOUBLE) AS approval_rate FROM places CROSS JOIN hours "
+        "LEFT JOIN hr ON hr.h = hours.h AND hr.country IS NOT DISTINCT FROM places.country"))
+    return out
+
+
 def build(b: str = "E") -> dict[str, str]:
     E = base_ctes(b)
     R = base_ctes(b, enriched=False)
@@ -584,7 +757,7 @@ def build(b: str = "E") -> dict[str, str]:
                              "SELECT * FROM seg")
     out["anomalies_split2"] = q(base_ctes(b, split=2) + [segments_cte()] + anomaly_ctes(
         b_period="weeks_1_2", c_period="weeks_3_6"), f"SELECT {ANOMALY_COLS} FROM an")
-    return out
+    return out | new_rows(b, E, R, seg)
 
 
 def oracle_sql() -> dict[str, str]:

@@ -169,4 +169,5 @@ DRILL_DIMS = ["card_brand", "card_type", "amount_bucket", "hour_bucket"]
 RISK_DIMS = ["country", "card_brand", "card_type"]
 L_VARIANTS = ("enrich_buckets", "segments_all", "anomalies", "insights", "first_time_vs_returning",
               "acquisition_cohorts", "weekly_trend", "pattern_audit", "waterfall", "amount_box",
-              "country_breakdown", "issuer_heatmap", "summary", "hourly_pattern", "recurring_vs_onetime")
+              "country_breakdown", "issuer_heatmap", "summary", "hourly_pattern", "recurring_vs_onetime",
+              "change_points", "cohort_retention", "amount_box_whiskers", "segments_incremental")

@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from .. import contracts as C
 from ..functions.columns import severity
-from ..functions.stats import two_proportion_p_value
+from ..functions.stats import two_proportion_p_value, with_p_value
 from ..functions.text import insight_description, insight_title
 from ..operators import anomalies as A
+from ..operators import asof, attribution, boxes, changes, incremental, retention
 from ..operators import cohorts as K
 from ..operators import extensions as X
 from ..operators import insights as I
@@ -30,7 +31,7 @@ from ..operators.enrich import enrich, fx_normalise
 from ..session import checkpoint_root, cut_lineage
 from ..sources import io
 from ..sources.bindings import geography, transactions
-from ..streaming import alerts
+from ..streaming import alerts, episodes
 
 R6 = 6
 # Pattern audit on the bindings: the reference's hot issuer (MX/BBVA) does not
@@ -42,7 +43,8 @@ DRILL_DIMS = ["card_brand", "card_type", "amount_bucket", "hour_bucket"]
 RISK_DIMS = ["country", "card_brand", "card_type"]
 L_VARIANTS = ("enrich_buckets", "segments_all", "anomalies", "insights", "first_time_vs_returning",
               "acquisition_cohorts", "weekly_trend", "pattern_audit", "waterfall", "amount_box",
-              "country_breakdown", "issuer_heatmap", "summary", "hourly_pattern", "recurring_vs_onetime")
+              "country_breakdown", "issuer_heatmap", "summary", "hourly_pattern", "recurring_vs_onetime",
+              "change_points", "cohort_retention", "amount_box_whiskers", "segments_incremental")
 
 
 def r6(c) -> F.Column:
@@ -385,6 +387,94 @@ def q_alert_windows(spark, d, b="E"):
     return alerts.alert_windows_batch(_raw(spark, d, b))
 
 
+def q_ztest_pvalue_exact(spark, d, b="E"):
+    """P19 by the exact tail."""
+    j = A.compare_periods(_segments(spark, d, b))
+    p = with_p_value(j, "baseline_approved", "baseline_total", "current_approved", "current_total")
+    return p.select("segment_key", "baseline_approved", "baseline_total", "current_approved", "current_total",
+                    F.round("p_value", 12).alias("p_value"), r6(F.log10("p_value")).alias("log10_p"))
+
+
+def q_anomalies_exact_p(spark, d, b="E"):
+    return _round_anomalies(_anomalies(spark, d, b, p_method="exact"))
+
+
+def _stamp(c: str):
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+
+
+def q_alert_episodes(spark, d, b="E"):
+    """One row per episode below the threshold."""
+    found = episodes.episodes(episodes.judged_windows(_raw(spark, d, b)))
+    return found.select("country", _stamp("fell_at"), _stamp("recovered_at"), "n_windows", "lowest_rate")
+
+
+def q_alert_stream(spark, d, b="E"):
+    """X1 as a stream: the raw layer is streamed to its end and the sink is read back."""
+    source, sink, state = (_layer_path(spark, f"alert-{x}") for x in ("source", "sink", "state"))
+    io.write_layer(C.validate(_raw(spark, d, b), C.RAW_TRANSACTION, strict=True), source)
+    running = episodes.start_episodes(spark, source, sink, state)
+    running.awaitTermination()
+    return spark.read.parquet(sink).select("country", "event", _stamp("window_end"), "total_transactions",
+                                           "approved_transactions", "approval_rate")
+
+
+def q_segments_incremental(spark, d, b="E"):
+    """All weeks but the last are loaded, then the last one alone is added."""
+    raw = _raw(spark, d, b)
+    base, seg = _layer_path(spark, "cube-base"), _layer_path(spark, "cube-segments")
+    weeks = [r[0] for r in raw.select("week_number").distinct().collect()]
+    last = max(w for w in weeks if w is not None)
+    incremental.load_weeks(raw, [w for w in weeks if w != last], base, seg)
+    return incremental.load_weeks(raw, [last], base, seg)
+
+
+def q_cohort_retention(spark, d, b="E"):
+    """Distinct and retained customers of the halves from the bitmap layer."""
+    layer = cut_lineage(retention.cohort_bitmaps(_raw(spark, d, b)), "cohort-bitmaps")
+    early = F.coalesce(F.col("week_number") <= C.SPLIT_WEEK, F.lit(False))
+    return retention.cohort_retention(layer, early, ~early)
+
+
+def q_change_points(spark, d, b="E"):
+    """The week at which each segment's rate changes most."""
+    found = changes.segment_change_points(_segments(spark, d, b, materialize=False))
+    return found.select("segment_type", "segment_key", "change_week", r6("rate_before").alias("rate_before"),
+                        r6("rate_after").alias("rate_after"), r6("lr_statistic").alias("lr_statistic"),
+                        r6("p_value").alias("p_value"), "n_weeks")
+
+
+def q_headline_trend_found(spark, d, b="E"):
+    """V1 with the inflection week found in the data."""
+    return changes.headline_trend_found(cut_lineage(T.weekly_trends(_raw(spark, d, b)), "trend"))
+
+
+def q_disjoint_impact(spark, d, b="E"):
+    """A10: the impact of the ranked insights, each transaction charged once."""
+    picked = cut_lineage(I.diverse_top_k(_scored(spark, d, b)), "picked")
+    out = attribution.disjoint_impact(_enriched(spark, d, b), picked)
+    return out.select("step", "segment_type", "segment_key", "charged_transactions",
+                      r6("charged_impact_usd").alias("charged_impact_usd"), r6("full_impact_usd").alias("full_impact_usd"))
+
+
+def q_risk_score_asof(spark, d, b="E"):
+    """Risk from the history before each transaction's day."""
+    r = asof.risk_score_asof(_raw(spark, d, b))
+    return r.select("transaction_id", "country", "issuer_bank", "hist_n", "hist_approved",
+                    r6("expected_approval").alias("expected_approval"), r6("risk_score").alias("risk_score"))
+
+
+def q_amount_box_whiskers(spark, d, b="E"):
+    box = boxes.amount_box_whiskers(_enriched(spark, d, b))
+    return box.select("period_half", "status", "n", "min", r6("q1").alias("q1"), r6("median").alias("median"),
+                      r6("q3").alias("q3"), "max", "lower_whisker", "upper_whisker", "n_below", "n_above")
+
+
+def q_hourly_rates_dense(spark, d, b="E"):
+    """X3 per country and hour, hours without traffic included."""
+    return asof.dense_hourly_rates(_raw(spark, d, b), ["country"])
+
+
 def _binding(fn, b):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(spark, sf_dir, b)
@@ -443,6 +533,18 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hourly_daily_rates": q_hourly_daily_rates,
         "risk_score": q_risk_score,
         "alert_windows": q_alert_windows,
+        "ztest_pvalue_exact": q_ztest_pvalue_exact,
+        "anomalies_exact_p": q_anomalies_exact_p,
+        "alert_episodes": q_alert_episodes,
+        "alert_stream": q_alert_stream,
+        "segments_incremental": q_segments_incremental,
+        "cohort_retention": q_cohort_retention,
+        "change_points": q_change_points,
+        "headline_trend_found": q_headline_trend_found,
+        "disjoint_impact": q_disjoint_impact,
+        "risk_score_asof": q_risk_score_asof,
+        "amount_box_whiskers": q_amount_box_whiskers,
+        "hourly_rates_dense": q_hourly_rates_dense,
     }
     out = {}
     for name, fn in reg.items():
