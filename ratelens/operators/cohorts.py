@@ -21,15 +21,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import approved_flag, is_approved, rounded_ratio
+from ..session import cut_lineage
 
 
 def customer_weeks(df: DataFrame) -> DataFrame:
-    """Per (customer, week): counts, first non-null-time txn, first txn (nulls first), then
+    """Per (customer, week): counts (all and recurring), first non-null-time txn, first txn (nulls first), then
     the customer's first-time week / approval and cohort week via a bounded window."""
     ts, tid = F.col("timestamp"), F.col("transaction_id")
+    rec = F.coalesce(F.col("is_recurring"), F.lit(False))
     cw = (df.groupBy("customer_id", "week_number")
           .agg(F.count(F.lit(1)).alias("total"),
                F.count_if(is_approved()).alias("approved"),
+               F.count_if(rec).alias("recurring"),
+               F.count_if(rec & is_approved()).alias("recurring_approved"),
                F.min(F.when(ts.isNotNull(), F.struct(ts.alias("ts"), tid.alias("id"),
                                                       approved_flag().alias("ok")))).alias("_first_nn"),
                F.min(F.struct(ts.alias("ts"), tid.alias("id"))).alias("_first_any")))
@@ -40,7 +44,7 @@ def customer_weeks(df: DataFrame) -> DataFrame:
                                        F.col("_first_nn.ok").alias("ok")))).over(w)
     cohort = F.min_by(F.col("week_number"), F.col("_first_any")).over(w)
     return (cw.withColumns({"_ft": first_time, "_cohort": cohort})
-            .select("customer_id", "week_number", "total", "approved",
+            .select("customer_id", "week_number", "total", "approved", "recurring", "recurring_approved",
                     F.col("_ft.week").alias("first_time_week"),
                     F.col("_ft.ok").alias("first_time_ok"),
                     F.col("_ft").isNotNull().alias("has_first_time"),
@@ -65,13 +69,19 @@ def first_time_vs_returning(df: DataFrame | None = None, per_customer: DataFrame
         re_n.cast("long").alias("returning_n")).orderBy("week")
 
 
-def recurring_vs_onetime(df: DataFrame) -> DataFrame:
+def recurring_vs_onetime(df: DataFrame | None = None, per_customer: DataFrame | None = None) -> DataFrame:
     """Per week, recurring vs one-time (null flag = one-time) approval."""
-    rec = F.coalesce(F.col("is_recurring"), F.lit(False))
-    ok = is_approved()
-    agg = (df.groupBy("week_number")
-           .agg(F.count_if(rec).alias("_rn"), F.count_if(rec & ok).alias("_ra"),
-                F.count_if(~rec).alias("_on"), F.count_if(~rec & ok).alias("_oa")))
+    if per_customer is not None:
+        agg = per_customer.groupBy("week_number").agg(
+            F.sum("recurring").alias("_rn"), F.sum("recurring_approved").alias("_ra"),
+            F.sum(F.col("total") - F.col("recurring")).alias("_on"),
+            F.sum(F.col("approved") - F.col("recurring_approved")).alias("_oa"))
+    else:
+        rec = F.coalesce(F.col("is_recurring"), F.lit(False))
+        ok = is_approved()
+        agg = (df.groupBy("week_number")
+               .agg(F.count_if(rec).alias("_rn"), F.count_if(rec & ok).alias("_ra"),
+                    F.count_if(~rec).alias("_on"), F.count_if(~rec & ok).alias("_oa")))
     return agg.select(
         F.col("week_number").alias("week"),
         rounded_ratio("_ra", "_rn").alias("recurring_rate"),
@@ -106,11 +116,14 @@ def cohort_matrix(cohorts: DataFrame) -> DataFrame:
 
 
 def cohort_payload(df: DataFrame) -> DataFrame:
-    """S14 payload: one row with the three views as arrays of records (each bounded by weeks^2)."""
-    pc = customer_weeks(df)
+    """S14 payload: one row with the three views as arrays of records (each bounded by weeks^2).
+
+    The raw rows are scanned once, into a layer of a row per customer and week that all views read.
+    """
+    pc = cut_lineage(customer_weeks(df), "customer-weeks")
     views = {
         "first_time_vs_returning": first_time_vs_returning(per_customer=pc),
-        "recurring_vs_onetime": recurring_vs_onetime(df),
+        "recurring_vs_onetime": recurring_vs_onetime(per_customer=pc),
         "acquisition_cohorts": acquisition_cohorts(per_customer=pc),
     }
     cols = []

@@ -753,6 +753,16 @@ def build(b: str = "E") -> dict[str, str]:
         out[layer] = out[source]
     out["sample_csv"] = q(R, "SELECT transaction_id, CAST(week_number AS VARCHAR) AS week_number, status, decline_reason "
                              "FROM raw ORDER BY timestamp, transaction_id LIMIT 100")
+    whole = ("SELECT * REPLACE (strftime(timestamp, '%Y-%m-%d %H:%M:%S.%f') AS timestamp) FROM raw")
+    out["layer_raw_rows"] = q(R, whole)
+    out["sample_csv_all"] = q(R, whole + " ORDER BY raw.timestamp, transaction_id LIMIT 100")
+    null = "CAST(NULL AS INTEGER)"
+    out["cohort_payload_all"] = (
+        "SELECT 'acquisition_cohorts' AS view, cohort_week, transaction_week AS week, 'all' AS kind, approval_rate AS rate, "
+        f"n_transactions AS n, n_customers FROM ({out['acquisition_cohorts']})" + "".join(
+            f" UNION ALL SELECT '{view}', {null}, week, '{kind}', {kind}_rate, {kind}_n, NULL FROM ({out[view]})"
+            for view, kinds in (("first_time_vs_returning", ("first_time", "returning")),
+                                ("recurring_vs_onetime", ("recurring", "onetime"))) for kind in kinds))
     out["segment_drill"] = q(E + [segments_cte(definitions={"drill": ["country", "hour_bucket"]}, declined_only={})],
                              "SELECT * FROM seg")
     out["anomalies_split2"] = q(base_ctes(b, split=2) + [segments_cte()] + anomaly_ctes(

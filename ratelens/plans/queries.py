@@ -9,7 +9,6 @@ projection so an independent engine can compare values.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +27,7 @@ from ..operators import segments as S
 from ..operators import trends as T
 from ..operators import views as V
 from ..operators.enrich import enrich, fx_normalise
-from ..session import checkpoint_root, cut_lineage
+from ..session import cut_lineage, layer_path
 from ..sources import io
 from ..sources.bindings import geography, transactions
 from ..streaming import alerts, episodes
@@ -242,48 +241,44 @@ def q_summary(spark, d, b="E"):
 # Layer round trips: each query writes a layer under the shared folder, reads it back through its
 # source and returns what was read.
 
-def _layer_path(spark, name: str) -> str:
-    return f"{checkpoint_root(spark)}/layers/{name}-{uuid.uuid4().hex}"
-
-
 def q_layer_raw(spark, d, b="E"):
     """The raw layer, validated on both sides."""
-    path = _layer_path(spark, "raw")
+    path = layer_path(spark, "raw")
     io.write_layer(C.validate(_raw(spark, d, b), C.RAW_TRANSACTION, strict=True), path)
     return T.weekly_trends(io.read_raw(spark, path))
 
 
 def q_layer_segments(spark, d, b="E"):
     """The segment layer, partitioned by period."""
-    path = _layer_path(spark, "segments")
+    path = layer_path(spark, "segments")
     io.write_layer(_segments(spark, d, b, materialize=False), path, partition_by=["period"])
     return io.read_layer(spark, path, C.SEGMENT)
 
 
 def q_layer_anomalies(spark, d, b="E"):
     """S4."""
-    path = _layer_path(spark, "anomalies")
+    path = layer_path(spark, "anomalies")
     io.write_layer(_anomalies(spark, d, b), path)
     return _round_anomalies(io.read_layer(spark, path, C.ANOMALY))
 
 
 def q_layer_view(spark, d, b="E"):
     """A view's parquet."""
-    path = _layer_path(spark, "view")
+    path = layer_path(spark, "view")
     io.write_layer(q_headline_trend(spark, d, b), path)
     return spark.read.parquet(path)
 
 
 def q_insights_json(spark, d, b="E"):
     """S6, S12."""
-    path = _layer_path(spark, "insights-json")
+    path = layer_path(spark, "insights-json")
     io.write_json(_insights(spark, d, b).orderBy("rank"), path, single_file=True)
     return _round_insights(io.read_insights_json(spark, path))
 
 
 def q_summary_json(spark, d, b="E"):
     """The summary object; its time stamp must parse as UTC."""
-    path = _layer_path(spark, "summary-json")
+    path = layer_path(spark, "summary-json")
     a = _anomalies(spark, d, b)
     made = I.summary(a, I.rank_insights(a))
     io.write_json(made, path, single_file=True)
@@ -295,16 +290,51 @@ def q_summary_json(spark, d, b="E"):
 
 def q_cohort_payload(spark, d, b="E"):
     """The nested payload, its acquisition rows exploded again."""
-    path = _layer_path(spark, "cohort-json")
+    path = layer_path(spark, "cohort-json")
     made = K.cohort_payload(_raw(spark, d, b))
     io.write_json(made, path, single_file=True)
     rows = spark.read.schema(made.schema).json(path).select(F.explode("acquisition_cohorts").alias("r"))
     return rows.select("r.*")
 
 
+def q_layer_raw_rows(spark, d, b="E"):
+    """Every row and column of the raw layer."""
+    path = layer_path(spark, "raw")
+    io.write_layer(C.validate(_raw(spark, d, b), C.RAW_TRANSACTION, strict=True), path)
+    back = io.read_raw(spark, path)
+    return back.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+def q_cohort_payload_all(spark, d, b="E"):
+    """The nested payload's three arrays, exploded again into rows of one shape."""
+    path = layer_path(spark, "cohort-json")
+    made = K.cohort_payload(_raw(spark, d, b))
+    io.write_json(made, path, single_file=True)
+    back = spark.read.schema(made.schema).json(path)
+    weekly = {"first_time_vs_returning": ("first_time", "returning"), "recurring_vs_onetime": ("recurring", "onetime")}
+    out = back.select(F.explode("acquisition_cohorts").alias("r")).select(
+        F.lit("acquisition_cohorts").alias("view"), F.col("r.cohort_week").alias("cohort_week"),
+        F.col("r.transaction_week").alias("week"), F.lit("all").alias("kind"), F.col("r.approval_rate").alias("rate"),
+        F.col("r.n_transactions").alias("n"), F.col("r.n_customers").alias("n_customers"))
+    for view, kinds in weekly.items():
+        rows = back.select(F.explode(view).alias("r"))
+        for kind in kinds:
+            out = out.union(rows.select(
+                F.lit(view), F.lit(None), F.col("r.week"), F.lit(kind), F.col(f"r.{kind}_rate"), F.col(f"r.{kind}_n"), F.lit(None)))
+    return out
+
+
+def q_sample_csv_all(spark, d, b="E"):
+    """All columns of the sample, typed again."""
+    path = layer_path(spark, "sample-csv")
+    io.write_sample_csv(_raw(spark, d, b), path)
+    back = io.read_sample_csv(spark, path)
+    return back.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
 def q_sample_csv(spark, d, b="E"):
     """The first 100 rows by time; a sample is the feature."""
-    path = _layer_path(spark, "sample-csv")
+    path = layer_path(spark, "sample-csv")
     io.write_sample_csv(_raw(spark, d, b), path)
     back = spark.read.option("header", True).csv(path)
     return back.select("transaction_id", "week_number", "status", "decline_reason")
@@ -411,7 +441,7 @@ def q_alert_episodes(spark, d, b="E"):
 
 def q_alert_stream(spark, d, b="E"):
     """X1 as a stream: the raw layer is streamed to its end and the sink is read back."""
-    source, sink, state = (_layer_path(spark, f"alert-{x}") for x in ("source", "sink", "state"))
+    source, sink, state = (layer_path(spark, f"alert-{x}") for x in ("source", "sink", "state"))
     io.write_layer(C.validate(_raw(spark, d, b), C.RAW_TRANSACTION, strict=True), source)
     running = episodes.start_episodes(spark, source, sink, state)
     running.awaitTermination()
@@ -422,7 +452,7 @@ def q_alert_stream(spark, d, b="E"):
 def q_segments_incremental(spark, d, b="E"):
     """All weeks but the last are loaded, then the last one alone is added."""
     raw = _raw(spark, d, b)
-    base, seg = _layer_path(spark, "cube-base"), _layer_path(spark, "cube-segments")
+    base, seg = layer_path(spark, "cube-base"), layer_path(spark, "cube-segments")
     weeks = [r[0] for r in raw.select("week_number").distinct().collect()]
     last = max(w for w in weeks if w is not None)
     incremental.load_weeks(raw, [w for w in weeks if w != last], base, seg)
@@ -502,6 +532,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "summary_json": q_summary_json,
         "cohort_payload": q_cohort_payload,
         "sample_csv": q_sample_csv,
+        "layer_raw_rows": q_layer_raw_rows,
+        "cohort_payload_all": q_cohort_payload_all,
+        "sample_csv_all": q_sample_csv_all,
         "declined_reason_segments": q_declined_reason_segments,
         "segment_dedup": q_segment_dedup,
         "period_join": q_period_join,

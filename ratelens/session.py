@@ -66,17 +66,36 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
 _LOCAL_ROOT: str | None = None
 
 
-_LAYERS: list[str] = []
+#: The layers each Spark application has written and not yet deleted, oldest first.
+_LAYERS: dict[str, list[str]] = {}
 
 
-def drop_layers(spark: SparkSession) -> int:
-    """Delete the layers ``cut_lineage`` has written since the last call; call it when the results
-    that read them are written."""
+def _written(spark: SparkSession) -> list[str]:
+    return _LAYERS.setdefault(spark.sparkContext.applicationId, [])
+
+
+def layer_path(spark: SparkSession, name: str) -> str:
+    """A new folder for a layer under the shared checkpoint folder, entered in the registry."""
+    path = f"{checkpoint_root(spark)}/layers/{name}-{uuid.uuid4().hex}"
+    _written(spark).append(path)
+    return path
+
+
+def layers_mark(spark: SparkSession) -> int:
+    """Where the registry stands; give it to ``drop_layers`` to delete later layers alone."""
+    return len(_written(spark))
+
+
+def drop_layers(spark: SparkSession, since: int = 0, keep: str | None = None) -> int:
+    """Delete the application's layers (those written after ``since``, but for ``keep``); call it when
+    the results that read them are written."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _written(spark)
     gone = 0
-    while _LAYERS:
-        path = jvm.org.apache.hadoop.fs.Path(_LAYERS.pop())
+    for name in [p for p in paths[since:] if p != keep]:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         gone += bool(path.getFileSystem(conf).delete(path, True))
+        paths.remove(name)
     return gone
 
 
@@ -89,8 +108,7 @@ def cut_lineage(df: DataFrame, name: str = "layer") -> DataFrame:
     plain ``checkpoint()`` computes an uncached plan twice), the result
     survives executor loss, and the read-back is a pruned columnar scan.
     """
-    path = f"{checkpoint_root(df.sparkSession)}/layers/{name}-{uuid.uuid4().hex}"
+    path = layer_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    _LAYERS.append(path)
     # the schema is known: no inference job on read-back
     return df.sparkSession.read.schema(df.schema).parquet(path)

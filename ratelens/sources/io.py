@@ -7,12 +7,18 @@ input is an error -- there are no silent fallbacks to generated data.
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import contracts as C
 
 
+#: Time stamps of the CSV sample, to the microsecond (Spark's default writes milliseconds).
+CSV_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def read_raw(spark: SparkSession, path: str, validate: bool = True) -> DataFrame:
     """Raw transactions; validated against the contract."""
     df = spark.read.parquet(path)
@@ -40,7 +46,14 @@ def write_sample_csv(df: DataFrame, path: str, n: int = 100,
                      order_by: list[str] | None = None) -> None:
     """First ``n`` rows (a top-n by ``order_by``) as one CSV file with a header."""
     ordered = df.orderBy(*(order_by or ["timestamp", "transaction_id"]))
-    ordered.limit(n).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    out = ordered.limit(n).coalesce(1).write.mode("overwrite").option("header", True)
+    out.option("timestampNTZFormat", CSV_TIME).option("timestampFormat", CSV_TIME).csv(path)
+
+
+def read_sample_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The sample, typed by the raw contract; a broken row fails the read."""
+    rows = spark.read.schema(C.RAW_TRANSACTION).option("header", True).option("mode", "FAILFAST")
+    return rows.option("timestampNTZFormat", CSV_TIME).option("timestampFormat", CSV_TIME).csv(path)
 
 
 def write_json(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -48,6 +61,32 @@ def write_json(df: DataFrame, path: str, single_file: bool = False) -> None:
     (df.coalesce(1) if single_file else df).write.mode("overwrite").json(path)
 
 
-def read_insights_json(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Insights JSON with the contract schema (no inference)."""
-    return spark.read.schema(C.INSIGHT).option("multiLine", multiline).json(path)
+def read_insights_json(spark: SparkSession, path: str, multiline: bool = False, mode: str = "FAILFAST") -> DataFrame:
+    """Insights JSON with the contract schema (no inference).
+
+    A broken or cut-off record, or a value of another type, fails the read (``FAILFAST``); ``mode`` may name
+    Spark's ``DROPMALFORMED`` or ``PERMISSIVE``. A record without a rank, a segment's title or a severity is
+    no insight and fails too, whatever the mode.
+    """
+    rows = spark.read.schema(C.INSIGHT).option("multiLine", multiline).option("mode", mode).json(path)
+    if mode == "PERMISSIVE":
+        return rows
+    needed = ("rank", "insight_id", "title", "severity")
+    empty = F.raise_error(F.lit(f"an insight in {path} lacks one of {', '.join(needed)}"))
+    missing = F.lit(False)
+    for c in needed:
+        missing = missing | F.col(c).isNull()
+    return rows.withColumn("rank", F.when(missing, empty.cast("int")).otherwise(F.col("rank")))
+
+
+def read_insights(spark: SparkSession, json_path: str, parquet_path: str) -> DataFrame:
+    """The insights of the JSON file, or of the parquet layer where the file is broken.
+
+    The file (a top-k) is read to its end before it is trusted.
+    """
+    try:
+        rows = read_insights_json(spark, json_path)
+        rows.write.format("noop").mode("overwrite").save()
+    except PySparkException:
+        return read_layer(spark, parquet_path, C.INSIGHT)
+    return rows
