@@ -46,12 +46,12 @@ def change_points(series: DataFrame, keys: list[str], week: str = "week_number",
     ratio = _log_likelihood(F.col("_k1"), F.col("_n1")) + _log_likelihood(k2, n2) - _log_likelihood(F.col("_kt"), F.col("_nt"))
     scored = split.select(*keys, "n_weeks", F.struct(
         F.round(F.greatest(ratio * 2.0, F.lit(0.0)), DECIMALS).alias("lr"), (-F.col("change_week")).alias("minus"),
-        (F.col("_k1") / F.col("_n1")).alias("before"), (k2 / n2).alias("after")).alias("s"))
-    best = scored.groupBy(*keys, "n_weeks").agg(F.max("s").alias("s"))
-    found = best.withColumn("_root", F.sqrt("s.lr"))
+        (F.col("_k1") / F.col("_n1")).alias("before"), (k2 / n2).alias("after")).alias("_s"))
+    best = scored.groupBy(*keys, "n_weeks").agg(F.max("_s").alias("_s"))
+    found = best.withColumn("_root", F.sqrt("_s.lr"))
     return found.select(
-        *keys, (-F.col("s.minus")).alias("change_week"), F.col("s.before").alias("rate_before"),
-        F.col("s.after").alias("rate_after"), F.col("s.lr").alias("lr_statistic"),
+        *keys, (-F.col("_s.minus")).alias("change_week"), F.col("_s.before").alias("rate_before"),
+        F.col("_s.after").alias("rate_after"), F.col("_s.lr").alias("lr_statistic"),
         F.least(F.lit(1.0), two_sided_p("_root", "exact") * (F.col("n_weeks") - 1)).alias("p_value"), "n_weeks")
 
 

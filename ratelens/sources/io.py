@@ -7,6 +7,7 @@ input is an error -- there are no silent fallbacks to generated data.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +88,6 @@ def read_insights(spark: SparkSession, json_path: str, parquet_path: str) -> Dat
     try:
         rows = read_insights_json(spark, json_path)
         rows.write.format("noop").mode("overwrite").save()
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):
         return read_layer(spark, parquet_path, C.INSIGHT)
     return rows

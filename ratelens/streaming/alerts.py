@@ -39,8 +39,11 @@ def _counts(df: DataFrame, window: str, slide: str | None, dims) -> DataFrame:
 
 
 def _seconds(duration: str) -> int:
-    n, unit = duration.split()
-    return int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}[unit.rstrip("s")]
+    known = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+    n, _, unit = duration.strip().partition(" ")
+    if not n.isdigit() or unit.strip().rstrip("s") not in known:
+        raise ValueError(f"a duration is a whole number of {', '.join(known)}s, got {duration!r}")
+    return int(n) * known[unit.strip().rstrip("s")]
 
 
 def _windows_of_panes(df: DataFrame, window: str, slide: str, dims) -> DataFrame:

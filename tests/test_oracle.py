@@ -19,7 +19,9 @@ SUBSET = ["enrich_buckets_L", "segments_all", "segments_all_L", "anomalies", "in
           "first_time_vs_returning", "acquisition_cohorts_L", "country_breakdown", "waterfall", "kpi_row",
           "insight_cards", "alert_windows", "risk_score", "fx_normalised", "amount_box", "anomalies_split2", "segment_drill",
           "layer_raw", "layer_segments", "insights_json", "summary_json", "cohort_payload", "sample_csv",
-          "issuer_heatmap_L", "cohort_matrix"]
+          "issuer_heatmap_L", "cohort_matrix", "ztest_pvalue_exact", "alert_episodes", "alert_stream", "segments_incremental",
+          "cohort_retention_L", "change_points_L", "headline_trend_found", "disjoint_impact", "risk_score_asof",
+          "amount_box_whiskers", "hourly_rates_dense", "layer_raw_rows", "sample_csv_all", "cohort_payload_all"]
 NAMES = list(registry()) if os.environ.get("RATELENS_ORACLE_ALL") else SUBSET
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
