@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -213,13 +214,35 @@ def test_tournament_is_first_fit(lengths):
 
 
 @pytest.mark.parametrize("text", ["Hello, world's BEST 42!", "", "  \n ", "É é Σας İ", "a\x1cb\x85c\xa0d", "x" * 300,
-                                  "<|endoftext|> don't", "日本語 テスト😀"])
+                                  "<|endoftext|> don't", "日本語 テスト😀", "foo<|startoftext|>bar", "<|ENDOFTEXT|>", "a\x00b \x00", "e\u0301 \u0301x"])
 def test_word_encoder_equals_whole_encoding(text):
-    enc = packing.encoder(packing.default_tokenizer())
-    want = np.array(enc.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    from tokenizers import Tokenizer
+    path = packing.default_tokenizer()
+    want = np.array(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    enc = packing.encoder(path)
     assert enc.encode(text) == want and enc.encode(text) == want  # and from the cache
 
 
+def test_texts_encoded_together_equal_texts_encoded_alone():
+    from tokenizers import Tokenizer
+    whole, enc, r = Tokenizer.from_file(packing.default_tokenizer()), packing.encoder(packing.default_tokenizer()), random.Random(4)
+    chars = ["a", "B", " ", "é", "İ", "Σ", "'s", "\n", "\x1c", "\x00", "1", "!", "<|endoftext|>", "ß", "\u0301", "\xa0", "\x85", "日", "x"]
+    for _ in range(60):
+        texts = ["".join(r.choice(chars) for _ in range(r.randrange(30))) for _ in range(r.randrange(1, 7))]
+        ids, bounds = enc.encode_all(pa.array(texts, pa.string()))
+        got = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        assert got == [whole.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_the_cache_keeps_two_generations():
+    kept = packing.Kept(3)
+    for i in range(7):
+        kept.put(str(i), bytes([i]))
+        assert kept.get("0") == b"\0"  # asked for again, so it moves up
+        assert len(kept.young) + len(kept.old) <= 6
+    assert kept.get("1") is None and kept.get("6") == b"\6"
+
+
 def test_packing_round_trip(spark):
     docs = table(spark, SF, "documents").select("doc_id", "text")
     enc = packing.encoder(packing.default_tokenizer())
