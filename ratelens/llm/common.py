@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ratelens.session import cut_lineage
 
-#: A side of a join is broadcast only when its counted rows times their width stay below this.
+#: A side of a join is broadcast only when its measured bytes stay below this.
 BROADCAST_BYTES = 32 << 20
 
 
@@ -27,12 +28,38 @@ def layer(df: DataFrame, name: str) -> DataFrame:
     return cut_lineage(df, name)
 
 
-def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
-    """``df`` (a written layer, so the count is cheap) marked for broadcast if its size allows it.
+def row_width(df: DataFrame) -> Column:
+    """Bytes of a row: the real length of its texts, bytes and arrays, 8 for every other column."""
+    total = F.lit(32).cast("long")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType | T.BinaryType):
+            total = total + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) + 8
+        elif isinstance(f.dataType, T.ArrayType):
+            total = total + F.greatest(F.coalesce(F.size(F.col(f.name)), F.lit(0)), F.lit(0)) * 8 + 8
+        else:
+            total = total + 8
+    return total
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """``df`` (a written layer, so it is cheap to measure) marked for broadcast if its bytes allow it.
 
     Beyond ``BROADCAST_BYTES`` the plain frame is returned and the join shuffles.
     """
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+    size = df.agg(F.sum(row_width(df))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores added until ``df`` has no column of that name (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def held_out(doc_id: Column) -> Column:
@@ -58,14 +85,14 @@ def row_tuples(batch: pa.RecordBatch) -> Iterator[tuple]:
 def map_rows(df: DataFrame, make: Callable[[], Callable[[Iterator[tuple]], Iterable[tuple]]],
              schema: T.StructType) -> DataFrame:
     """Arrow-batched row map: ``make()`` runs once per task and returns a function from the row
-    tuples of a batch to output tuples. One batch is in memory at a time."""
+    tuples of a batch to output tuples. ``SLICE`` rows, in or out, are Python objects at a time."""
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
-            rows = list(fn(row_tuples(batch)))
-            if rows:
+            made = iter(fn(row_tuples(batch)))
+            while rows := list(islice(made, SLICE)):
                 cols = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, type=f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
@@ -88,7 +115,7 @@ def components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> Data
     Alternates large-star and small-star steps (each a group-by with partial aggregation of the
     minimum, then one join), every round written to the shared folder. A round is linear in the
     edges; the rounds grow with the logarithm of the longest path. Nothing goes to the driver but
-    two numbers a round.
+    two numbers a round. A graph that is not done after ``max_rounds`` raises.
     """
     und = edges.where("a is not null and b is not null and a <> b")
     cur = layer(und.select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")).distinct(),
@@ -110,5 +137,7 @@ def components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> Data
         if state == before:
             break
         before = state
+    else:
+        raise RuntimeError(f"components are not done after {max_rounds} rounds")
     roots = cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return cur.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)

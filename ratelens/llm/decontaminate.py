@@ -1,7 +1,8 @@
 """Benchmark decontamination by size-partitioned MinHash containment search. DataFrame functions only.
 
-Words are runs of letters and digits, lower-cased; a shingle is ``WORDS`` consecutive words (a
-shorter text is one shingle of all its words). A document contains an item when it holds at least
+Words are runs of letters and digits, lower-cased; a shingle is ``WORDS`` consecutive words. An item of fewer
+words is one shingle of them all; where the benchmark has such items, documents also have a shingle at
+every place for each of these lengths, so a short item is found inside a long document. A document contains an item when it holds at least
 ``CONTAINMENT`` of the item's distinct shingles.
 
 Items are partitioned by size (powers of two of their shingle count). An item's sketch is the
@@ -19,6 +20,8 @@ gives an empty result; very long texts are searched whole; other columns are ign
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,9 +31,12 @@ WORDS = 5
 CONTAINMENT = 0.8
 
 
-def _with_shingles(rows: DataFrame, text: str, words: int) -> DataFrame:
+def _with_shingles(rows: DataFrame, text: str, words: int, short: Sequence[int] | None = None) -> DataFrame:
     """``rows`` with ``sh``: the distinct shingle hashes of a text column, which goes.
 
+    A text of fewer than ``words`` words is one shingle; with ``short``, any text has instead the
+    shingles of these smaller lengths besides.
+
     Callers explode ``sh`` with the outer form and compare what follows from it under coalesce:
     a filter, also one that Spark infers, would be pushed below and compute the shingles again.
     """
@@ -41,8 +47,23 @@ def _with_shingles(rows: DataFrame, text: str, words: int) -> DataFrame:
     many = F.transform(F.sequence(F.lit(0), size - words),
                        lambda i: F.xxhash64(*(F.get("wh", i + k) for k in range(words))))
     none = F.array().cast("array<bigint>")
-    return hashed.select(*keep, F.array_distinct(
-        F.when(size >= words, many).when(size > 0, F.array(F.xxhash64("wh"))).otherwise(none)).alias("sh"))
+    if short is None:
+        return hashed.select(*keep, F.array_distinct(
+            F.when(size >= words, many).when(size > 0, F.array(F.xxhash64("wh"))).otherwise(none)).alias("sh"))
+
+    def runs(k: int) -> Column:
+        every = F.transform(F.sequence(F.lit(1), size - (k - 1)), lambda i: F.xxhash64(F.slice("wh", i, k)))
+        return F.when(size >= k, every).otherwise(none)
+
+    return hashed.select(*keep, F.array_distinct(F.concat(
+        F.when(size >= words, many).otherwise(none), *(runs(k) for k in short))).alias("sh"))
+
+
+def short_lengths(items: DataFrame, text: str, words: int) -> list[int]:
+    """The word counts below ``words`` that items have: fewer than ``words`` numbers, whatever the table."""
+    size = F.size(F.array_remove(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), ""))
+    counts = items.select(size.alias("n")).where(F.col("n").between(1, words - 1)).distinct()
+    return sorted(r["n"] for r in counts.collect())
 
 
 def _allowed_missing(n: Column, containment: float) -> Column:
@@ -68,23 +89,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, words: int = WORDS,
                  containment: float = CONTAINMENT) -> DataFrame:
     """Pairs of ``docs(doc_id, text)`` and ``benchmark(item_id, text)`` with the containment:
     doc_id, dkey (hash of the text), item_id, n_item, n_shared, containment."""
-    items = _with_shingles(benchmark.where("item_id is not null and text is not null").select("item_id", "text"), "text", words)
+    known = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
+    short = short_lengths(known, "text", words)
+    items = _with_shingles(known, "text", words)
     items = layer(items.select("item_id", F.explode_outer("sh").alias("s")).where("s is not null").groupBy("item_id")
                   .agg(F.collect_set("s").alias("sh")), "bench-items")
     sketch = layer(sketches(items, containment), "bench-sketch")
     keyed = docs.where("doc_id is not null and text is not null").select(
         "doc_id", F.xxhash64("text").alias("dkey"), "text")
     # the size first, so that the exploded rows don't carry the array
-    postings = (_with_shingles(keyed, "text", words).select("doc_id", "dkey", F.size("sh").alias("size"), "sh")
+    postings = (_with_shingles(keyed, "text", words, short).select("doc_id", "dkey", F.size("sh").alias("size"), "sh")
                 .select("doc_id", "dkey", "size", F.explode_outer("sh").alias("hash")))
-    pairs = (postings.join(small_side(sketch, 40), "hash").where("coalesce(size, 0) >= need")
+    pairs = (postings.join(small_side(sketch), "hash").where("coalesce(size, 0) >= need")
              .groupBy("doc_id", "dkey", "item_id").agg(F.count("*").alias("hits")))
     found = layer(pairs.groupBy("doc_id", "dkey").agg(F.collect_list("item_id").alias("items")), "bench-found")
-    again = keyed.join(small_side(found, 100), ["doc_id", "dkey"])
-    full = _with_shingles(again, "text", words).select("doc_id", "dkey", F.col("sh").alias("held"),
+    again = keyed.join(small_side(found), ["doc_id", "dkey"])
+    full = _with_shingles(again, "text", words, short).select("doc_id", "dkey", F.col("sh").alias("held"),
                                                        F.explode_outer("items").alias("item_id"))
     shared = F.coalesce(F.size(F.array_intersect("held", "sh")), F.lit(0))
-    checked = (full.join(small_side(items, 2000), "item_id")
+    checked = (full.join(small_side(items), "item_id")
                .select("doc_id", "dkey", "item_id", F.size("sh").alias("n"), shared.alias("m"))
                .where(F.col("m") >= _needed(F.col("n"), containment)))
     return (checked.groupBy("doc_id", "dkey", "item_id")  # repeated rows of a document
@@ -97,5 +120,5 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, words: int = WORDS,
     """The rows of ``docs`` (all columns) that contain no benchmark item."""
     bad = layer(contaminated(docs, benchmark, words, containment)
                 .select(F.col("doc_id").alias("__id"), F.col("dkey").alias("__key")).distinct(), "bench-bad")
-    return docs.join(small_side(bad, 40), (docs["doc_id"] == bad["__id"])
+    return docs.join(small_side(bad), (docs["doc_id"] == bad["__id"])
                      & (F.xxhash64(docs["text"]) == bad["__key"]), "left_anti")

@@ -22,7 +22,7 @@ number. Blank lines are always kept.
 Defined results: a null text stays null and an empty text empty; rows with a null doc_id pass
 unchanged and take no part; rows equal in doc_id and text are one document and get one result each;
 an empty table gives an empty table; all other columns are kept whatever their names, except that
-``n_lines`` and ``n_dropped`` are set; very long lines follow the same rule by way of a window.
+``n_lines`` and ``n_dropped`` are set (unless ``counts`` is off: then they too are kept as they are); very long lines follow the same rule by way of a window.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import layer, small_side
+from .common import fresh, layer, small_side
 
 MIN_WORDS = 8
 #: Lines of more words hash their variants by a window over exploded words, not by array folds.
@@ -88,7 +88,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     places = layer(wanted.select("doc_id", "dkey", "no", "same_first", "same_last"), "line-wanted")
     lines = docs.where("doc_id is not null and text is not null").select(
         "doc_id", F.xxhash64("text").alias("dkey"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    return (lines.join(small_side(places, 48), ["doc_id", "dkey", "no"])
+    return (lines.join(small_side(places), ["doc_id", "dkey", "no"])
             .dropDuplicates(["doc_id", "dkey", "no"])  # repeated rows of a document
             .select(F.struct("doc_id", "dkey", "no").alias("place"), "same_first", "same_last",
                     _words(F.col("line")).alias("w")))
@@ -171,8 +171,8 @@ def near_copies(lines: DataFrame) -> DataFrame:
     return best.join(x, "place").join(y, "earlier").where(_one_edit(F.col("x"), F.col("y"))).select("place", "earlier")
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the kept lines as text, and n_lines, n_dropped (null for a null doc_id)."""
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = True) -> DataFrame:
+    """``docs`` with the kept lines as text, and with ``counts`` n_lines, n_dropped (null for a null doc_id)."""
     firsts = layer(first_lines(docs, min_words), "line-first")
     wanted = firsts.join(_with_partner(firsts, min_words), ["h1", "h2"])
     lines = layer(_texts(docs, wanted), "line-words")
@@ -182,17 +182,21 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     # a byte for each line up to the last kept one: looked up in constant time
     step = F.transform("kept", lambda k, j: F.concat(
         F.repeat(F.lit("0"), k - F.coalesce(F.get("kept", j - 1), F.lit(-1)) - 1), F.lit("1")))
-    masks = layer(lists.select(F.col("doc_id").alias("__id"), F.col("dkey").alias("__key"), F.size("kept").alias("__n"),
-                               F.array_join(step, "").cast("binary").alias("__mask")), "line-kept")
-    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    joined = docs.join(small_side(masks, 120),
-                       (docs["doc_id"] == masks["__id"]) & (F.xxhash64(docs["text"]) == masks["__key"]), "left")
+    a_id, a_key, a_n, a_mask = fresh(docs, "__id", "__key", "__n", "__mask")
+    masks = layer(lists.select(F.col("doc_id").alias(a_id), F.col("dkey").alias(a_key), F.size("kept").alias(a_n),
+                               F.array_join(step, "").cast("binary").alias(a_mask)), "line-kept")
+    names = [c for c in docs.columns if not counts or c.lower() not in ("n_lines", "n_dropped")]
+    joined = docs.join(small_side(masks),
+                       (F.col("doc_id") == F.col(a_id)) & (F.xxhash64("text") == F.col(a_key)), "left")
     stays = F.filter(F.split("text", "\n"), lambda line, i: ~line.rlike(r"\S") | F.coalesce(
-        F.substring("__mask", i + 1, F.lit(1)) == F.lit(b"1"), F.lit(False)))
+        F.substring(a_mask, i + 1, F.lit(1)) == F.lit(b"1"), F.lit(False)))
     full = F.size(F.filter(F.split("text", "\n"), lambda line: line.rlike(r"\S")))
     part = F.col("doc_id").isNotNull()
+    text = F.when(part, F.array_join(stays, "\n")).otherwise(F.col("text")).alias("text")
+    columns = [text if c == "text" else F.col(f"`{c.replace('`', '``')}`") for c in names]
+    if not counts:
+        return joined.select(*columns)
     return joined.select(
-        *(F.when(part, F.array_join(stays, "\n")).otherwise(F.col("text")).alias("text") if c == "text" else docs[c]
-          for c in names),
+        *columns,
         F.when(part, F.coalesce(F.size(F.split("text", "\n")), F.lit(0))).cast("long").alias("n_lines"),
-        F.when(part, F.coalesce(full - F.coalesce("__n", F.lit(0)), F.lit(0))).cast("long").alias("n_dropped"))
+        F.when(part, F.coalesce(full - F.coalesce(a_n, F.lit(0)), F.lit(0))).cast("long").alias("n_dropped"))

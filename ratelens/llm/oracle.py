@@ -26,10 +26,8 @@ bw AS (
   SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
   FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
 ds AS (
-  SELECT DISTINCT doc_id, unnest(CASE
-    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
-    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
-  FROM dw),
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i+k-1], ' '))) AS s
+  FROM dw, (SELECT 5 AS k UNION SELECT DISTINCT len(w) FROM bw WHERE len(w) BETWEEN 1 AND 4) WHERE len(w) >= k),
 bs AS (
   SELECT DISTINCT item_id, unnest(CASE
     WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))

@@ -35,9 +35,9 @@ END = 1
 #: Pieces in a group, about.
 GROUP = 4096
 #: Entries of one generation of a worker's cache of parts (some 200 bytes each; two generations are kept).
-CACHE = 400_000
+CACHE = 200_000
 #: Text whose words are numbered together.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 _END = np.array([END], dtype="<u4").tobytes()
 
 

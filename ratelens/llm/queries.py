@@ -63,7 +63,7 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), unit="sentence")
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

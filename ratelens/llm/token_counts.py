@@ -2,7 +2,8 @@
 interval-joined to section spans.
 
 A document is its fields in order, joined by a line break; a section is one line of a field,
-with its line break. A token that crosses a boundary belongs to the section holding most of its
+with its line break, or (``unit="sentence"``) one sentence: a run up to ``.``, ``!`` or ``?`` and the white space
+after it, or up to a line break. Byte-level tokens often begin with a blank, so most sentences end inside a token. A token that crosses a boundary belongs to the section holding most of its
 bytes, ties to the earlier section; so every token is counted exactly once and the counts of a
 document's sections add up to its tokens.
 
@@ -14,6 +15,7 @@ texts are one encoding; an empty table gives an empty table; other columns are i
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -56,13 +58,22 @@ def encoder(path: str) -> ByteEncoder:
     return _ENCODERS[path]
 
 
-def section_ends(fields: Sequence[str | None]) -> tuple[bytes, list[tuple[int, int]], np.ndarray]:
+#: The ends of sections: a line break, or the end mark of a sentence with the white space after it.
+UNITS = {"line": re.compile(rb"\n"), "sentence": re.compile(rb"\n|[.!?]+[ \t\r\f\v]++(?!\n)")}
+
+
+def section_ends(fields: Sequence[str | None], unit: str = "line") -> tuple[bytes, list[tuple[int, int]], np.ndarray]:
     """The joined document, (field, section in it) of each section, and the byte each ends at."""
     parts = [(f or "").encode() for f in fields]
     whole = b"\n".join(parts)
-    breaks = np.flatnonzero(np.frombuffer(whole, dtype=np.uint8) == 10) + 1
-    names = [(i, k) for i, p in enumerate(parts) for k in range(p.count(b"\n") + 1)]
-    return whole, names, np.append(breaks, len(whole))
+    ends, names, at = [], [], 0
+    for i, part in enumerate(parts):
+        inner = [at + m.end() for m in UNITS[unit].finditer(part)]
+        at += len(part) + 1
+        # the break that joins two fields belongs to the first
+        ends += [*inner, min(at, len(whole))]
+        names += [(i, k) for k in range(len(inner) + 1)]
+    return whole, names, np.array(ends, dtype=np.int64)
 
 
 def attribute(ends: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +82,10 @@ def attribute(ends: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     first = np.searchsorted(bounds, starts, side="right")
     last = np.searchsorted(bounds, ends - 1, side="right")
     home = first.copy()
-    for t in np.flatnonzero(first != last):
+    # over one boundary: the later section only if it holds more
+    two = np.flatnonzero(last == first + 1)
+    home[two] += ends[two] - bounds[first[two]] > bounds[first[two]] - starts[two]
+    for t in np.flatnonzero(last > first + 1):
         most = -1
         for s in range(int(first[t]), int(last[t]) + 1):
             low = starts[t] if s == first[t] else bounds[s - 1]
@@ -88,7 +102,7 @@ OUT = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("field"
 
 
 def token_counts(docs: DataFrame, fields: Sequence[str] = ("text",),
-                 ranks: Callable[[], str] = default_ranks) -> DataFrame:
+                 ranks: Callable[[], str] = default_ranks, unit: str = "line") -> DataFrame:
     """A row per section of each row of ``docs``: its bytes, tokens, and tokens that cross its
     boundaries but were allocated to it. ``ranks`` is called on the executors."""
     names = list(fields)
@@ -98,7 +112,7 @@ def token_counts(docs: DataFrame, fields: Sequence[str] = ("text",),
 
         def rows(batch):
             for doc_id, *values in batch:
-                whole, sections, bounds = section_ends(values)
+                whole, sections, bounds = section_ends(values, unit)
                 ends = enc.ends(whole.decode())
                 home, crossing = attribute(ends, bounds)
                 count = np.bincount(home, minlength=len(sections)).tolist()

@@ -142,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS
     # the sample has at most 2 * max_per_class rows of two numbers: a proven bound for a broadcast
     sample = docs.select("doc_id", "text").join(
         F.broadcast(layer(part[0].union(part[1]), "toxicity-sample")), "doc_id").select("toxic", "text")
-    every = docs.select("doc_id", "text").join(small_side(rows, 24), "doc_id").select("toxic", "text")
+    every = docs.select("doc_id", "text").join(small_side(rows), "doc_id").select("toxic", "text")
     counts = every.mapInArrow(_count, COUNTS).groupBy("bucket").agg(F.sum("toxic").alias("p"), F.sum("other").alias("q"))
     counts = layer(counts, "toxicity-counts")  # a row a bucket
     p_sum, q_sum, n = counts.agg(F.sum("p"), F.sum("q"), F.count("*")).first()

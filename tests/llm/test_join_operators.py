@@ -56,6 +56,23 @@ def test_components_equal_union_find(spark, edges):
     assert got == {x: r for x, r in root.items() if any(x in e and e[0] != e[1] for e in edges)}
 
 
+def test_components_raise_when_their_rounds_run_out(spark):
+    path = spark.range(400).selectExpr("id as a", "id + 1 as b")
+    with pytest.raises(RuntimeError, match="2 rounds"):
+        common.components(path, max_rounds=2)
+
+
+def test_sides_are_measured(spark, monkeypatch):
+    def broadcast(df):
+        return "broadcast" in common.small_side(df)._jdf.queryExecution().logical().toString().lower()
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 10_000)
+    rows = spark.range(10)
+    assert broadcast(rows.selectExpr("id", "'short' as t")) and broadcast(spark.range(0))
+    assert not broadcast(rows.selectExpr("id", "repeat('x', 2000) as t"))
+    assert not broadcast(rows.selectExpr("id", "sequence(1L, 200L) as t"))
+    assert not broadcast(spark.range(1000))
+
+
 def test_components_of_a_long_path(spark):
     got = common.components(spark.range(300).selectExpr("id as a", "id + 1 as b")).collect()
     assert len(got) == 301 and {r.root for r in got} == {0}
@@ -92,12 +109,22 @@ def test_contamination_equals_brute_force(spark):
     want = {}
     for d, t, _ in docs:
         for i, b in items:
-            s, held = shingles_of(b, 5), shingles_of(t, 5)
+            n = min(5, len(words_of(b)))
+            s, held = shingles_of(b, 5), shingles_of(t, n) if n and len(words_of(t)) >= n else set()
             if d is not None and i is not None and s and len(s & held) >= math.ceil(0.8 * len(s) - 1e-9):
                 want[d, i] = (len(s), len(s & held))
     assert got == want and len(want) > 10
 
 
+def test_short_items_are_found_in_long_documents(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six " * 50 + "needle in haystack end"), (2, "Two, three!"), (3, "in needle"),
+                                  (4, "x" * 10), (5, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "two three"), (2, "needle in haystack end"), (3, "needle"), (4, "three two one zero"), (5, "")],
+                                  "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()}
+    assert got == {(1, 1), (1, 2), (1, 3), (2, 1), (3, 3)}
+
+
 def test_contamination_edges(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g", "x"), (1, "other words here now ok", "y"), (2, None, "z"),
                                   (None, "a b c d e f g", "n")], "doc_id long, text string, __id string")
@@ -300,6 +327,15 @@ def test_line_dedup_edges(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_dedup_with_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b\nc d", 500, 600, "m", "k", "i", 7), (2, "c d\ne f", 501, 601, "m", "k", "i", 8)],
+                               "doc_id long, text string, n_lines long, `__n` long, `__mask` string, `__KEY` string, __id string, `a.b` int")
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(df).collect()}
+    assert (got[2].text, got[2].n_lines, got[2].n_dropped, got[2]["__n"], got[2]["a.b"]) == ("e f", 2, 1, 601, 8)
+    same = {r.doc_id: r for r in line_dedup.dedup_lines(df, counts=False).collect()}
+    assert same[2].n_lines == 501 and same[2].text == "e f" and list(same[2].asDict()) == df.columns
+
+
 def test_line_on_a_third_of_all_documents(spark):
     df = spark.range(300).selectExpr("id as doc_id", "if(id % 3 = 0, 'the same old line', concat('only ', id)) as text")
     got = line_dedup.dedup_lines(df).agg(common.F.sum("n_dropped")).first()[0]

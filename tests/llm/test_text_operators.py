@@ -192,6 +192,27 @@ def test_language_edge_rows(spark):
     assert langid.identify(docs.limit(0), profiles).count() == 0
 
 
+def test_added_spans_keep_off_base_spans_in_linear_time():
+    import time
+    r = random.Random(6)
+    for _ in range(300):
+        taken = [("x", a, a + r.randrange(1, 9)) for a in r.sample(range(80), r.randrange(0, 9))]
+        text = "".join(r.choice("tel 0123456789-+.") for _ in range(40)) + " tel 555-123-4567 phone (555) 765-4321"
+        got = pii.extra_spans(text, taken)
+        free = pii.extra_spans(text, [])
+        assert got == [(k, s, e) for k, s, e in free if not any(a < e and s < b for _, a, b in taken)]
+    text = "tel +49 170 1234567 or 555-123-4567, " * 20_000
+    began = time.process_time()
+    base, extra = pii.detect(text)
+    assert len(base) == 20_000 and len(extra) == 20_000 and time.process_time() - began < 20
+
+
+@pytest.mark.parametrize("text", ["appelez le 555-123-4567", "Rufnummer 555-123-4567", "móvil 555-123-4567", "call 555-123-4567"])
+def test_context_words_of_four_languages(text):
+    assert [k for k, _, _ in pii.detect(text)[1]] == ["local_phone"]
+    assert pii.detect("555-123-4567")[1] == []
+
+
 # --------------------------------------------------------------------------- packing
 
 def plain_first_fit(lengths, room):
@@ -288,7 +309,54 @@ def test_token_counts_add_up(spark):
         sections[r.doc_id] = sections.get(r.doc_id, 0) + 1
     for i, t in texts.items():
         assert total[i] == len(enc.encode_ordinary(t)) and size[i] == len(t.encode())
-        assert sections[i] == t.count("\n") + 1
+        assert sections[i] == len(plain_sentences(t))
+    # sentences end inside tokens, so the rule decides
+    assert sum(r.n_crossing for r in rows) > len(texts)
+
+
+def plain_sentences(text):
+    """Sections of one text, character by character."""
+    out, now, i = [], "", 0
+    while i < len(text):
+        now += text[i]
+        if text[i] == "\n":
+            out.append(now)
+            now = ""
+        elif text[i] in ".!?":
+            j = i + 1
+            while j < len(text) and text[j] in " \t\r\f\v":
+                j += 1
+            if j > i + 1 and not (j < len(text) and text[j] == "\n"):
+                out.append(now + text[i + 1:j])
+                now, i = "", j - 1
+        i += 1
+    return [*out, now]
+
+
+def plain_counts(enc, text):
+    """(bytes, tokens, crossing) of each sentence, byte by byte."""
+    parts = [p.encode() for p in plain_sentences(text)]
+    owner = [i for i, p in enumerate(parts) for _ in p]
+    n, crossing, at = [0] * len(parts), [0] * len(parts), 0
+    for t in enc.encoding.encode_ordinary(text):
+        held = owner[at:at + int(enc.widths[t])]
+        best = max(sorted(set(held)), key=lambda s: (held.count(s), -s))
+        n[best] += 1
+        crossing[best] += len(set(held)) > 1
+        at += len(held)
+    return [(len(p), a, b) for p, a, b in zip(parts, n, crossing, strict=True)]
+
+
+def test_sentence_counts_equal_brute_force(spark):
+    enc, r = token_counts.encoder(token_counts.default_ranks()), random.Random(5)
+    texts = ["One. Two!  Three?\nFour... five.\n. \n", "", "No end", "a.b c. \t\nd", "é. ü!? 😀. x"]
+    texts += ["".join(r.choice(["a", "bc ", ". ", "! ", ".", "\n", " ", "é", "?!  "]) for _ in range(r.randrange(40))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for x in token_counts.token_counts(df, unit="sentence").collect():
+        got.setdefault(x.doc_id, {})[x.section] = (x.n_bytes, x.n_tokens, x.n_crossing)
+    for i, t in enumerate(texts):
+        assert [got[i][k] for k in sorted(got[i])] == plain_counts(enc, t), t
 
 
 @settings(max_examples=150, deadline=None)
