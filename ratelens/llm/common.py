@@ -23,9 +23,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch of texts: Spark's 10,000 are tens of MB of text on both sides of a task.
+BATCH_ROWS = 1024
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def layer(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the cluster's shared checkpoint folder and read it back (cuts lineage)."""
-    return cut_lineage(df, name)
+    """Write ``df`` to the cluster's shared checkpoint folder and read it back (cuts lineage).
+
+    While it is written, rows go to Python in batches of at most ``BATCH_ROWS``.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_BATCH, None)
+    if before is None or not 0 < int(before) <= BATCH_ROWS:
+        conf.set(_BATCH, str(BATCH_ROWS))
+    try:
+        return cut_lineage(df, name)
+    finally:
+        if before is None:
+            conf.unset(_BATCH)
+        else:
+            conf.set(_BATCH, before)
 
 
 def row_width(df: DataFrame) -> Column:
