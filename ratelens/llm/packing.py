@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import crc_bytes
+from .common import crc_bytes, layer
 
 SEQ_LEN = 2048
 #: Id that ends a document.
@@ -35,9 +35,9 @@ END = 1
 #: Pieces in a group, about.
 GROUP = 4096
 #: Entries of one generation of a worker's cache of parts (some 200 bytes each; two generations are kept).
-CACHE = 200_000
+CACHE = 150_000
 #: Text whose words are numbered together.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 _END = np.array([END], dtype="<u4").tobytes()
 
 
@@ -259,4 +259,6 @@ def pack_documents(docs: DataFrame, tokenizer: Callable[[], str] = default_token
     """Pack all of ``docs(doc_id, text)``. The number of groups follows from the rows and bytes."""
     n, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     groups = max(1, -(-(n + size // (3 * seq_len)) // group))
-    return pack(tokenize_documents(docs, tokenizer, seq_len, with_ids), groups, seq_len)
+    # written once: a task of the packing that is lost does not bring the encoding back
+    pieces = layer(tokenize_documents(docs, tokenizer, seq_len, with_ids), "pack-pieces")
+    return pack(pieces, groups, seq_len)
