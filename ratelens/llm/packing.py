@@ -35,7 +35,7 @@ END = 1
 #: Pieces in a group, about.
 GROUP = 4096
 #: Entries of one generation of a worker's cache of parts (some 200 bytes each; two generations are kept).
-CACHE = 150_000
+CACHE = 100_000
 #: Text whose words are numbered together.
 SLICE_BYTES = 2 << 20
 _END = np.array([END], dtype="<u4").tobytes()
