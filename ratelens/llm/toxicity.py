@@ -5,9 +5,13 @@ each hashed to one of ``BUCKETS``. A bucket's value is its log-count ratio betwe
 training texts; a logistic regression over these values gives the score (the NB-SVM construction
 of Wang and Manning, 2012, with a logistic loss).
 
-The log-count ratios count every labelled training row. Only the regression over them is fitted on a
-bounded sample of these rows: at most ``MAX_PER_CLASS`` of each class, those of least
-xxhash64(doc_id); the weights of the classes restore the proportion of all labelled training rows.
+The log-count ratios count every labelled training row, and every bucket seen in ``MIN_TEXTS`` of their texts has a
+weight. Only the regression over them is fitted on a bounded sample of the labelled documents: at most
+``MAX_PER_CLASS`` texts of each class, those of least xxhash64(doc_id); the weights of the rows restore the
+proportion of all labelled training rows. A text's buckets travel packed, in ``BUCKETS`` / 8 bytes at most, so
+what the driver receives is bounded by 2 * MAX_PER_CLASS * BUCKETS / 8 = 262 MB however long the texts are.
+The strength of the penalty is chosen from ``L2`` by log loss on a fold of the training rows (crc32 of the id mod 5
+is 1), with ratios and a fit (on at most ``FOLD_PER_CLASS`` texts of each class) that leave this fold out.
 Scoring reads every whole text.
 
 Defined results: a null text is the empty text; a text without an n-gram gets the score of the
@@ -27,15 +31,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, layer, map_rows, row_tuples, small_side, trainable, utf32
+from .common import give_back, held_out, layer, map_rows, row_tuples, small_side, trainable, utf32
 
-BUCKETS = 1 << 19
+BITS = 18
+BUCKETS = 1 << BITS
 SIZES = (3, 4, 5)
 MAX_PER_CLASS = 4000
-#: Buckets the regression may use: those seen in this many training texts at least, then the
-#: strongest by |ratio| * sqrt(texts).
-MIN_TEXTS, MAX_FEATURES = 4, 30_000
-ALPHA, L2, ROUNDS = 1.0, 1e-3, 150
+#: Texts of a class that the choice of the penalty fits on, and measures on, at most.
+FOLD_PER_CLASS = 1000
+#: Buckets that have a weight are seen in this many training texts at least.
+MIN_TEXTS = 4
+ALPHA, ROUNDS = 1.0, 60
+#: Penalties to choose from; ``L2_DEFAULT`` where the fold or the rest lacks a class.
+L2, L2_DEFAULT = (1e-3, 3e-3, 1e-2, 3e-2), 1e-2
+#: Buckets of texts that the fit unpacks at one time.
+UNPACKED = 1 << 21
 
 
 def features(text: str | None) -> np.ndarray:
@@ -52,7 +62,7 @@ def features(text: str | None) -> np.ndarray:
         h = (h[:-1] ^ (h[:-1] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + c[n - 1:] * np.uint64(0x94D049BB133111EB)
         if n in SIZES:
             mixed = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-            out.append((mixed >> np.uint64(64 - 19)).astype(np.uint32))
+            out.append((mixed >> np.uint64(64 - BITS)).astype(np.uint32))
     if not out:
         return np.empty(0, np.uint32)
     v = np.sort(np.concatenate(out))
@@ -71,25 +81,53 @@ class Model:
         return 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, z))))
 
 
-def _fit(texts: list[np.ndarray], ratio: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and intercept of a logistic regression; ``texts`` index into ``ratio``."""
-    blocks = []
-    for at in range(0, len(texts), 512):
-        part = texts[at:at + 512]
-        blocks.append((slice(at, at + len(part)), np.concatenate(part), np.array([len(x) for x in part])))
+def packed(found: np.ndarray) -> bytes:
+    """Buckets as 32-bit numbers or, where that is shorter, as a bitmap."""
+    if len(found) < BUCKETS // 32:
+        return found.astype("<u4").tobytes()
+    bits = np.zeros(BUCKETS, np.uint8)
+    bits[found] = 1
+    return np.packbits(bits).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    if len(data) < BUCKETS // 8:
+        return np.frombuffer(data, dtype="<u4")
+    return np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8))).astype("<u4")
+
+
+def _blocks(texts: list[bytes]):
+    """(rows, buckets in a row, buckets of each row) of consecutive texts, about ``UNPACKED`` buckets at a time."""
+    part, first, size = [], 0, 0
+    for i, data in enumerate(texts):
+        part.append(unpacked(data))
+        size += len(part[-1])
+        if size >= UNPACKED or i == len(texts) - 1:
+            yield slice(first, i + 1), np.concatenate(part), np.array([len(x) for x in part])
+            part, first, size = [], i + 1, 0
+
+
+def _margins(cols: np.ndarray, lengths: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The sum of each row's weights."""
+    ends = np.cumsum(lengths)
+    run = np.concatenate(([0.0], np.cumsum(weights[cols])))
+    return run[ends] - run[ends - lengths]
+
+
+def _fit(texts: list[bytes], ratio: np.ndarray, toxic: np.ndarray, weight: np.ndarray, l2: float) -> tuple[np.ndarray, float]:
+    """Weights (dense over the buckets) and intercept of a logistic regression over packed ``texts``."""
     share = weight / weight.sum()
     w, b = np.zeros(len(ratio)), 0.0
     m = [np.zeros(len(ratio)), 0.0]
     s = [np.zeros(len(ratio)), 0.0]
     for t in range(1, ROUNDS + 1):  # Adam on the whole sample: deterministic, no step size to tune
-        gw, gb, scaled = L2 * w, 0.0, w * ratio
-        for rows, cols, lengths in blocks:
-            row = np.repeat(np.arange(len(lengths)), lengths)
-            z = b + np.bincount(row, weights=scaled[cols], minlength=len(lengths))
+        gw, gb, scaled = np.zeros(len(ratio)), 0.0, w * ratio
+        for rows, cols, lengths in _blocks(texts):
+            z = b + _margins(cols, lengths, scaled)
             g = (1.0 / (1.0 + np.exp(-np.clip(z, -60, 60))) - toxic[rows]) * share[rows]
-            gw = gw + np.bincount(cols, weights=g[row], minlength=len(ratio)) * ratio
+            gw += np.bincount(cols, weights=np.repeat(g, lengths), minlength=len(ratio))
             gb += g.sum()
-        for i, grad in ((0, gw), (1, gb)):
+        for i, grad in ((0, gw * ratio + l2 * w), (1, gb)):
             m[i] = 0.9 * m[i] + 0.1 * grad
             s[i] = 0.999 * s[i] + 0.001 * grad * grad
         step = [0.05 * (m[i] / (1 - 0.9**t)) / (np.sqrt(s[i] / (1 - 0.999**t)) + 1e-9) for i in (0, 1)]
@@ -97,30 +135,64 @@ def _fit(texts: list[np.ndarray], ratio: np.ndarray, toxic: np.ndarray, weight:
     return w * ratio, float(b)
 
 
-COUNTS = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("toxic", T.LongType()),
-                       T.StructField("other", T.LongType())])
-BUCKETS_OF = T.StructType([T.StructField("toxic", T.IntegerType()), T.StructField("f", T.BinaryType())])
+def _ratio(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Log-count ratios from the texts of each class that hold a bucket; 0 for buckets seen too rarely."""
+    r = np.log((p + ALPHA) / (p.sum() + ALPHA * BUCKETS)) - np.log((q + ALPHA) / (q.sum() + ALPHA * BUCKETS))
+    return np.where(p + q >= MIN_TEXTS, r, 0.0)
+
+
+def _class_weights(toxic: np.ndarray, rows: np.ndarray, total: list[float]) -> np.ndarray:
+    """Each text counts as its ``rows``, scaled so that its class has ``total`` rows."""
+    held = [max(1.0, rows[toxic == c].sum()) for c in (0, 1)]
+    return rows * np.where(toxic == 1, total[1] / held[1], total[0] / held[0])
+
+
+def _first(mask: np.ndarray, toxic: np.ndarray, n: int) -> np.ndarray:
+    """Places of the first ``n`` texts of each class under ``mask``."""
+    return np.sort(np.concatenate([np.flatnonzero(mask & (toxic == c))[:n] for c in (0, 1)]))
+
+
+def choose_l2(texts: list[bytes], toxic: np.ndarray, weight: np.ndarray, fold: np.ndarray, ratio: np.ndarray,
+              n: int = FOLD_PER_CLASS) -> float:
+    """The penalty of least log loss on the fold, for fits on the rest; ``ratio`` leaves the fold out too."""
+    fit, look = _first(~fold, toxic, n), _first(fold, toxic, n)
+    if min(len(set(toxic[fit])), len(set(toxic[look]))) < 2:
+        return L2_DEFAULT
+    losses = []
+    for l2 in L2:
+        w, b = _fit([texts[i] for i in fit], ratio, toxic[fit], weight[fit], l2)
+        z = b + np.concatenate([_margins(c, k, w) for _, c, k in _blocks([texts[i] for i in look])])
+        loss = np.logaddexp(0.0, np.where(toxic[look] == 1, -z, z))
+        losses.append(float((loss * weight[look]).sum() / weight[look].sum()))
+    return L2[int(np.argmin(losses))]
+
+
+_CLASSES = ("other", "toxic", "other_fold", "toxic_fold")
+COUNTS = T.StructType([T.StructField("bucket", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in _CLASSES)])
+SAMPLE = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("dkey", T.LongType()),
+                       T.StructField("toxic", T.IntegerType()), T.StructField("fold", T.BooleanType()),
+                       T.StructField("n", T.LongType()), T.StructField("f", T.BinaryType())])
 
 
 def _count(batches):
-    """Texts of each class that hold a bucket, folded over a task: a fixed size, whatever it reads."""
+    """Texts of each class, in and out of the fold, that hold a bucket, folded over a task: a fixed size,
+    whatever it reads."""
     import pyarrow as pa
 
-    seen = np.zeros((2, BUCKETS), dtype=np.int64)
+    seen = np.zeros((4, BUCKETS), dtype=np.int64)
     for batch in batches:
-        for toxic, text in row_tuples(batch):
-            seen[toxic, features(text)] += 1
+        for toxic, fold, text in row_tuples(batch):
+            seen[toxic + 2 * fold, features(text)] += 1
     hit = np.flatnonzero(seen.any(axis=0))
-    yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(seen[1, hit]), pa.array(seen[0, hit])],
+    yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), *(pa.array(c[hit]) for c in seen)],
                                      names=[f.name for f in COUNTS])
+    give_back()
 
 
-def _feature_task(kept: np.ndarray):
+def _pack_task():
     def rows(batch):
-        for toxic, text in batch:
-            own = features(text).astype(np.int64)
-            at = np.minimum(np.searchsorted(kept, own), len(kept) - 1)
-            yield toxic, at[kept[at] == own].astype("<i4").tobytes()
+        for *keep, text in batch:
+            yield (*keep, packed(features(text)))
     return rows
 
 
@@ -131,39 +203,45 @@ def _constant(total: dict[int, int]) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS) -> Model:
-    """Fit on ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``; see the module for the bound."""
+    """Fit on ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``; see the module for the bounds."""
     rows = layer(labels.where(trainable(F.col("doc_id")) & F.col("toxic").isin(0, 1)).groupBy("doc_id")
                  .agg(F.max("toxic").cast("int").alias("toxic")), "toxicity-labels")
     total = {x["toxic"]: x["n"] for x in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(total) < 2:
         return _constant(total)
-    part = [rows.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_per_class)
-            for c in (0, 1)]
-    # the sample has at most 2 * max_per_class rows of two numbers: a proven bound for a broadcast
-    sample = docs.select("doc_id", "text").join(
-        F.broadcast(layer(part[0].union(part[1]), "toxicity-sample")), "doc_id").select("toxic", "text")
-    every = docs.select("doc_id", "text").join(small_side(rows), "doc_id").select("toxic", "text")
-    counts = every.mapInArrow(_count, COUNTS).groupBy("bucket").agg(F.sum("toxic").alias("p"), F.sum("other").alias("q"))
-    counts = layer(counts, "toxicity-counts")  # a row a bucket
-    p_sum, q_sum, n = counts.agg(F.sum("p"), F.sum("q"), F.count("*")).first()
-    if not n:
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    texts = docs.select("doc_id", "text")
+    every = texts.join(small_side(rows), "doc_id").select("toxic", fold.alias("fold"), "text")
+    sums = (F.sum(c).alias(c) for c in _CLASSES)
+    # at most a row a bucket
+    counts = layer(every.mapInArrow(_count, COUNTS).groupBy("bucket").agg(*sums), "toxicity-counts").toArrow()
+    if not counts.num_rows:
         return _constant(total)
-    ratio = (F.log((F.col("p") + ALPHA) / (p_sum + ALPHA * BUCKETS)) - F.log((F.col("q") + ALPHA) / (q_sum + ALPHA * BUCKETS)))
-    best = (counts.where(F.col("p") + F.col("q") >= MIN_TEXTS).select("bucket", ratio.alias("r"), (F.col("p") + F.col("q")).alias("n"))
-            .orderBy(F.desc(F.abs("r") * F.sqrt("n")), "bucket").limit(MAX_FEATURES).collect())
-    if not best:
-        return _constant(total)
-    best.sort(key=lambda x: x["bucket"])
-    kept = np.array([x["bucket"] for x in best], dtype=np.int64)
-    got = map_rows(sample, lambda: _feature_task(kept), BUCKETS_OF).collect()
-    got.sort(key=lambda x: (x["toxic"], bytes(x["f"])))  # the fit doesn't depend on the order of rows
-    toxic = np.array([x["toxic"] for x in got], dtype=np.float64)
-    texts = [np.frombuffer(x["f"], dtype="<i4") for x in got]
-    weight = np.where(toxic == 1, total[1] / max(1, (toxic == 1).sum()), total[0] / max(1, (toxic == 0).sum()))
-    w, b = _fit(texts, np.array([x["r"] for x in best]), toxic, weight)
-    weights = np.zeros(BUCKETS, np.float32)
-    weights[kept] = w
-    return Model(weights, b)
+    seen = np.zeros((4, BUCKETS))
+    seen[:, counts["bucket"].to_numpy()] = [counts[c].to_numpy() for c in _CLASSES]
+
+    # a labelled text once, however many rows repeat it, and only texts that are there
+    key = F.xxhash64("text").alias("dkey")
+    found = layer(texts.select("doc_id", key).join(small_side(rows), "doc_id").groupBy("doc_id", "dkey")
+                  .agg(F.max("toxic").alias("toxic"), F.count("*").alias("n")), "toxicity-found")
+    every_row = {x["toxic"]: x["n"] for x in found.groupBy("toxic").agg(F.sum("n").alias("n")).collect()}
+    part = [found.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id", "dkey").limit(max_per_class)
+            for c in (0, 1)]
+    # the sample has at most 2 * max_per_class rows of four numbers: a proven bound for a broadcast
+    sample = F.broadcast(layer(part[0].union(part[1]), "toxicity-sample"))
+    rows_of = texts.withColumn("dkey", key).join(sample, ["doc_id", "dkey"]).select(
+        "doc_id", "dkey", "toxic", fold.alias("fold"), "n", "text")
+    got = layer(map_rows(rows_of, _pack_task, SAMPLE).dropDuplicates(["doc_id", "dkey"])
+                .withColumn("h", F.xxhash64("doc_id")), "toxicity-packed").toArrow()
+    got = got.sort_by([("h", "ascending"), ("doc_id", "ascending"), ("dkey", "ascending")])  # the fit doesn't depend on row order
+    toxic, n = got["toxic"].to_numpy().astype(np.float64), got["n"].to_numpy().astype(np.float64)
+    out = got["fold"].to_numpy()
+    buckets = got["f"].to_pylist()
+    del got
+    weight = _class_weights(toxic, n, [every_row.get(c, 0) for c in (0, 1)])
+    l2 = choose_l2(buckets, toxic, weight, out, _ratio(seen[1], seen[0]))
+    weights, b = _fit(buckets, _ratio(seen[1] + seen[3], seen[0] + seen[2]), toxic, weight, l2)
+    return Model(weights.astype(np.float32), b)
 
 
 OUT = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()),
@@ -194,5 +272,7 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
         for b in batches:
             keep = [sent.value.score(x) < 0.5 for (x,) in row_tuples(b.select(["text"]))]
             yield b.filter(pa.array(keep, type=pa.bool_()))
+            del b, keep
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

@@ -125,13 +125,47 @@ def test_toxicity_counts_every_training_row(spark, monkeypatch):
     for r in docs.collect():
         (p if r.doc_id % 3 == 0 else q)[toxicity.features(r.text)] += 1
     ratio = np.log((p + 1) / (p.sum() + toxicity.BUCKETS)) - np.log((q + 1) / (q.sum() + toxicity.BUCKETS))
-    kept, got = np.flatnonzero(p + q >= toxicity.MIN_TEXTS), []
-    monkeypatch.setattr(toxicity, "_fit", lambda texts, r, toxic, weight: got.append((len(texts), r)) or (r, 0.0))
+    ratio[p + q < toxicity.MIN_TEXTS] = 0
+    got, fit = [], toxicity._fit
+    monkeypatch.setattr(toxicity, "_fit", lambda texts, r, *a: got.append((len(texts), r)) or fit(texts, r, *a))
     toxicity.train(docs, labels, max_per_class=5)
-    assert got[0][0] == 10 and len(got[0][1]) == len(kept) and np.allclose(got[0][1], ratio[kept])
+    assert got[-1][0] == 10 and np.allclose(got[-1][1], ratio)
     assert toxicity.MAX_PER_CLASS == 4000
 
 
+@pytest.mark.parametrize("n", [0, 1, 100, toxicity.BUCKETS // 32 - 1, toxicity.BUCKETS // 32, toxicity.BUCKETS])
+def test_packed_buckets_come_back(n):
+    found = np.sort(np.random.default_rng(n).choice(toxicity.BUCKETS, n, replace=False)).astype(np.uint32)
+    data = toxicity.packed(found)
+    assert len(data) <= toxicity.BUCKETS // 8 and toxicity.unpacked(data).tolist() == found.tolist()
+
+
+def test_penalty_is_chosen_on_the_fold(monkeypatch):
+    texts = [toxicity.packed(np.array([i], np.uint32)) for i in range(8)]
+    toxic, fold = np.array([0, 1] * 4, float), np.array([False] * 4 + [True] * 4)
+    # only the third penalty's fit tells the fold's texts apart
+    def fit(part, ratio, y, weight, l2):
+        assert part == texts[:4]
+        w = np.zeros(toxicity.BUCKETS)
+        w[4:8] = np.array([-1, 1, -1, 1]) * (l2 == toxicity.L2[2])
+        return w, 0.0
+    monkeypatch.setattr(toxicity, "_fit", fit)
+    ratio = np.zeros(toxicity.BUCKETS)
+    assert toxicity.choose_l2(texts, toxic, np.ones(8), fold, ratio) == toxicity.L2[2]
+    assert toxicity.choose_l2(texts, toxic, np.ones(8), fold & (toxic == 1), ratio) == toxicity.L2_DEFAULT
+
+
+def test_toxicity_repeated_documents_are_one_text_of_the_sample(spark, monkeypatch):
+    docs = [(i, f"word{i % 3} text {i}") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(1000, 1)], "doc_id long, toxic int")
+    seen, fit = [], toxicity._fit
+    monkeypatch.setattr(toxicity, "_fit", lambda texts, r, y, w, l2: seen.append((len(texts), w)) or fit(texts, r, y, w, l2))
+    first = min(i for i, _ in docs if not held(i))
+    toxicity.train(spark.createDataFrame(docs + [docs[first]] * 40, "doc_id long, text string"), labels)
+    n, weight = seen[-1]
+    assert n == sum(not held(i) for i, _ in docs) and weight.max() == 41 and sorted(weight)[-2] == 1
+
+
 def test_keep_clean_keeps_rows_and_columns(spark):
     w = np.zeros(toxicity.BUCKETS, np.float32)
     w[toxicity.features("moron")] = 9
@@ -240,13 +274,13 @@ def test_word_encoder_equals_whole_encoding(text):
     from tokenizers import Tokenizer
     path = packing.default_tokenizer()
     want = np.array(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-    enc = packing.encoder(path)
+    enc = packing.WordEncoder(path)
     assert enc.encode(text) == want and enc.encode(text) == want  # and from the cache
 
 
 def test_texts_encoded_together_equal_texts_encoded_alone():
     from tokenizers import Tokenizer
-    whole, enc, r = Tokenizer.from_file(packing.default_tokenizer()), packing.encoder(packing.default_tokenizer()), random.Random(4)
+    whole, enc, r = Tokenizer.from_file(packing.default_tokenizer()), packing.WordEncoder(packing.default_tokenizer()), random.Random(4)
     chars = ["a", "B", " ", "é", "İ", "Σ", "'s", "\n", "\x1c", "\x00", "1", "!", "<|endoftext|>", "ß", "\u0301", "\xa0", "\x85", "日", "x"]
     for _ in range(60):
         texts = ["".join(r.choice(chars) for _ in range(r.randrange(30))) for _ in range(r.randrange(1, 7))]
@@ -266,7 +300,7 @@ def test_the_cache_keeps_two_generations():
 
 def test_packing_round_trip(spark):
     docs = table(spark, SF, "documents").select("doc_id", "text")
-    enc = packing.encoder(packing.default_tokenizer())
+    enc = packing.WordEncoder(packing.default_tokenizer())
     pieces = packing.pack_documents(docs, group=200, with_ids=True).collect()
     texts = dict(docs.collect())
     by_doc, by_seq = {}, {}
