@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
@@ -100,6 +101,13 @@ def row_tuples(batch: pa.RecordBatch) -> Iterator[tuple]:
         yield from zip(*(c.to_pylist() for c in batch.slice(at, SLICE).columns), strict=True)
 
 
+def give_back() -> None:
+    """Hand back the memory that Arrow and the C library keep for reuse: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[Iterator[tuple]], Iterable[tuple]]],
              schema: T.StructType) -> DataFrame:
     """Arrow-batched row map: ``make()`` runs once per task and returns a function from the row
@@ -114,6 +122,9 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[Iterator[tuple]], Itera
                 cols = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, type=f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
+            del batch, made
+        del fn
+        give_back()
 
     return df.mapInArrow(run, schema)
 

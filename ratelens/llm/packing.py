@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import crc_bytes, layer
+from .common import crc_bytes, give_back, layer
 
 SEQ_LEN = 2048
 #: Id that ends a document.
@@ -151,15 +151,6 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
-def encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
-
-
 PIECES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()),
                        T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType()),
                        T.StructField("doc_tokens", T.LongType()), T.StructField("at", T.LongType()),
@@ -173,7 +164,7 @@ def tokenize_documents(docs: DataFrame, tokenizer: Callable[[], str] = default_t
     ``tokenizer`` is called on the executors and gives the path of the tokenizer file there.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer())
+        enc = WordEncoder(tokenizer())  # of this task: a worker keeps no tokenizer and no cache
         at = 0
         for batch in batches:
             for part in _slices(batch):
@@ -188,6 +179,10 @@ def tokenize_documents(docs: DataFrame, tokenizer: Callable[[], str] = default_t
                         rows.append((doc_id, start, len(piece) // 4, crc_bytes(piece), total, at, piece if with_ids else None))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
+                del part, ids, bounds, rows
+            del batch
+        del enc
+        give_back()
 
     arrow = to_arrow_schema(PIECES)
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, PIECES)
