@@ -38,14 +38,14 @@ BUCKETS = 1 << BITS
 SIZES = (3, 4, 5)
 MAX_PER_CLASS = 4000
 #: Texts of a class that the choice of the penalty fits on, and measures on, at most.
-FOLD_PER_CLASS = 1000
+FOLD_PER_CLASS = 500
 #: Buckets that have a weight are seen in this many training texts at least.
 MIN_TEXTS = 4
 ALPHA, ROUNDS = 1.0, 60
 #: Penalties to choose from; ``L2_DEFAULT`` where the fold or the rest lacks a class.
-L2, L2_DEFAULT = (1e-3, 3e-3, 1e-2, 3e-2), 1e-2
-#: Buckets of texts that the fit unpacks at one time.
-UNPACKED = 1 << 21
+L2, L2_DEFAULT = (3e-3, 1e-2, 3e-2), 1e-2
+#: Buckets of texts that the fit unpacks at one time (few enough for a processor's cache).
+UNPACKED = 1 << 17
 
 
 def features(text: str | None) -> np.ndarray:
@@ -103,7 +103,7 @@ def _blocks(texts: list[bytes]):
         part.append(unpacked(data))
         size += len(part[-1])
         if size >= UNPACKED or i == len(texts) - 1:
-            yield slice(first, i + 1), np.concatenate(part), np.array([len(x) for x in part])
+            yield slice(first, i + 1), np.concatenate(part).astype(np.intp), np.array([len(x) for x in part])
             part, first, size = [], i + 1, 0
 
 

@@ -143,7 +143,7 @@ def test_packed_buckets_come_back(n):
 def test_penalty_is_chosen_on_the_fold(monkeypatch):
     texts = [toxicity.packed(np.array([i], np.uint32)) for i in range(8)]
     toxic, fold = np.array([0, 1] * 4, float), np.array([False] * 4 + [True] * 4)
-    # only the third penalty's fit tells the fold's texts apart
+    # only the last penalty's fit tells the fold's texts apart
     def fit(part, ratio, y, weight, l2):
         assert part == texts[:4]
         w = np.zeros(toxicity.BUCKETS)
