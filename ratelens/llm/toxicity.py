@@ -8,8 +8,9 @@ of Wang and Manning, 2012, with a logistic loss).
 The log-count ratios count every labelled training row, and every bucket seen in ``MIN_TEXTS`` of their texts has a
 weight. Only the regression over them is fitted on a bounded sample of the labelled documents: at most
 ``MAX_PER_CLASS`` texts of each class, those of least xxhash64(doc_id); the weights of the rows restore the
-proportion of all labelled training rows. A text's buckets travel packed, in ``BUCKETS`` / 8 bytes at most, so
-what the driver receives is bounded by 2 * MAX_PER_CLASS * BUCKETS / 8 = 262 MB however long the texts are.
+proportion of all labelled training rows. A text's buckets travel packed, in 2 bytes each and ``BUCKETS`` / 8 bytes at
+most, so what the driver receives is bounded by 2 * MAX_PER_CLASS * BUCKETS / 8 = 262 MB however long the texts are. It
+takes them a partition at a time and holds them once.
 The strength of the penalty is chosen from ``L2`` by log loss on a fold of the training rows (crc32 of the id mod 5
 is 1), with ratios and a fit (on at most ``FOLD_PER_CLASS`` texts of each class) that leave this fold out.
 Scoring reads every whole text.
@@ -81,10 +82,16 @@ class Model:
         return 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, z))))
 
 
+#: What a bucket's bits above the lower 16 can stand for.
+_UPPER = np.arange(0, BUCKETS, 1 << 16, dtype=np.uint32)
+
+
 def packed(found: np.ndarray) -> bytes:
-    """Buckets as 32-bit numbers or, where that is shorter, as a bitmap."""
-    if len(found) < BUCKETS // 32:
-        return found.astype("<u4").tobytes()
+    """Sorted buckets by their upper bits: how many have each, then the lower 16 bits of all; where that is
+    shorter, a bitmap."""
+    if 2 * (len(_UPPER) + len(found)) < BUCKETS // 8:
+        n = np.bincount(found >> 16, minlength=len(_UPPER))
+        return np.concatenate((n, found & 0xFFFF)).astype("<u2").tobytes()
     bits = np.zeros(BUCKETS, np.uint8)
     bits[found] = 1
     return np.packbits(bits).tobytes()
@@ -92,7 +99,8 @@ def packed(found: np.ndarray) -> bytes:
 
 def unpacked(data: bytes) -> np.ndarray:
     if len(data) < BUCKETS // 8:
-        return np.frombuffer(data, dtype="<u4")
+        v = np.frombuffer(data, dtype="<u2")
+        return v[len(_UPPER):] + np.repeat(_UPPER, v[:len(_UPPER)])
     return np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8))).astype("<u4")
 
 
@@ -232,15 +240,17 @@ def train(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS
     rows_of = texts.withColumn("dkey", key).join(sample, ["doc_id", "dkey"]).select(
         "doc_id", "dkey", "toxic", fold.alias("fold"), "n", "text")
     got = layer(map_rows(rows_of, _pack_task, SAMPLE).dropDuplicates(["doc_id", "dkey"])
-                .withColumn("h", F.xxhash64("doc_id")), "toxicity-packed").toArrow()
-    got = got.sort_by([("h", "ascending"), ("doc_id", "ascending"), ("dkey", "ascending")])  # the fit doesn't depend on row order
-    toxic, n = got["toxic"].to_numpy().astype(np.float64), got["n"].to_numpy().astype(np.float64)
-    out = got["fold"].to_numpy()
-    buckets = got["f"].to_pylist()
+                .select(F.xxhash64("doc_id").alias("h"), "doc_id", "dkey", "toxic", "fold", "n", "f"), "toxicity-packed")
+    # a partition at a time, never the whole sample in the JVM; sorted, so the fit doesn't depend on row order
+    got = sorted(map(tuple, got.toLocalIterator()))
+    toxic, out, n, buckets = (list(c) for c in list(zip(*got))[3:]) if got else ([], [], [], [])
     del got
+    toxic, out, n = np.array(toxic, float), np.array(out, bool), np.array(n, float)
     weight = _class_weights(toxic, n, [every_row.get(c, 0) for c in (0, 1)])
     l2 = choose_l2(buckets, toxic, weight, out, _ratio(seen[1], seen[0]))
     weights, b = _fit(buckets, _ratio(seen[1] + seen[3], seen[0] + seen[2]), toxic, weight, l2)
+    del buckets, seen, counts
+    give_back()
     return Model(weights.astype(np.float32), b)
 
 

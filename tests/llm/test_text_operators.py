@@ -140,6 +140,26 @@ def test_packed_buckets_come_back(n):
     assert len(data) <= toxicity.BUCKETS // 8 and toxicity.unpacked(data).tolist() == found.tolist()
 
 
+def test_packed_buckets_take_two_bytes():
+    found = np.sort(np.random.default_rng(0).choice(toxicity.BUCKETS, 10_000, replace=False)).astype(np.uint32)
+    assert len(toxicity.packed(found)) <= 2 * len(found) + 8
+    edges = np.array([0, 0xFFFF, 0x10000, 0x2FFFF, 0x30000, toxicity.BUCKETS - 1], np.uint32)
+    assert toxicity.unpacked(toxicity.packed(edges)).tolist() == edges.tolist()
+
+
+def test_toxicity_sample_comes_to_the_driver_by_partition(spark, monkeypatch):
+    """The packed texts are never collected at once, and the order they come in changes nothing."""
+    frame, whole = type(spark.range(1)), []
+    for name in ("toArrow", "collect", "toPandas"):
+        before = getattr(frame, name)
+        monkeypatch.setattr(frame, name, lambda df, before=before: whole.append(df.columns) or before(df))
+    docs = [(i, f"word{i % 7} and {'vile' if i % 3 == 0 else 'kind'} x{i}") for i in range(1, 80)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in docs], "doc_id long, toxic int")
+    a, b = (toxicity.train(spark.createDataFrame(d, DOC).repartition(n), labels) for d, n in ((docs, 1), (docs[::-1], 5)))
+    assert whole and not any("f" in columns for columns in whole)
+    assert a.intercept == b.intercept and (a.weights == b.weights).all() and a.weights.any()
+
+
 def test_penalty_is_chosen_on_the_fold(monkeypatch):
     texts = [toxicity.packed(np.array([i], np.uint32)) for i in range(8)]
     toxic, fold = np.array([0, 1] * 4, float), np.array([False] * 4 + [True] * 4)
