@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import __spark_entry__ as E
+from ratelens import session
 from ratelens.llm import common, decontaminate, line_dedup, ngram_join, quote_links, topk
 from ratelens.llm.oracle import ORACLE
 
@@ -212,6 +213,32 @@ def test_join_equals_brute_force(spark, monkeypatch, cold, unit):
 
 
 @settings(max_examples=60, deadline=None)
+def names_since(spark, mark):
+    return [x.rpartition("/")[2].rpartition("-")[0] for x in session._written(spark)[mark:]]
+
+
+def test_cut_units_take_turns(spark, monkeypatch):
+    """Blocks of few shingles: the texts dealt to pairs of blocks are more than the corpus, which is the most at a time."""
+    monkeypatch.setattr(ngram_join, "WAVE", 1)
+    turns = []
+    units = ngram_join._units
+    monkeypatch.setattr(ngram_join, "_units", lambda texts, *turn: turns.append(turn) or units(texts, *turn))
+    rows = near_corpus(11, bases=2, copies=12)
+    df = spark.createDataFrame(rows, "doc_id long, text string, cls string")
+    got = ngram_join.join(df, unit=200).select("doc_id", "n_shingles", "component_id", "n_links")
+    assert sorted(map(tuple, got.collect())) == plain_join(rows)
+    assert len(turns) > 1 and [t for t, _ in turns] == list(range(turns[0][1]))
+
+
+def test_only_layers_that_results_read_stay(spark):
+    rows = near_corpus(5, bases=3)
+    df = spark.createDataFrame(rows, "doc_id long, text string, cls string")
+    mark = session.layers_mark(spark)
+    got = ngram_join.join(df).select("doc_id", "n_shingles", "component_id", "n_links")
+    assert names_since(spark, mark) == ["join-rows", "join-facts"]
+    assert sorted(map(tuple, got.collect())) == plain_join(rows)
+
+
 @given(st.lists(st.sets(st.integers(0, 12), min_size=1, max_size=9), min_size=2, max_size=9), st.booleans())
 def test_unit_links_are_exact(sets, blocks):
     arrays = [np.array(sorted(s), dtype=np.uint64) for s in sets]
