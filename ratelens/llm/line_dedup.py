@@ -30,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratelens.session import working_layers
+
 from .common import fresh, layer, small_side
 
 MIN_WORDS = 8
@@ -173,18 +175,20 @@ def near_copies(lines: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = True) -> DataFrame:
     """``docs`` with the kept lines as text, and with ``counts`` n_lines, n_dropped (null for a null doc_id)."""
-    firsts = layer(first_lines(docs, min_words), "line-first")
-    wanted = firsts.join(_with_partner(firsts, min_words), ["h1", "h2"])
-    lines = layer(_texts(docs, wanted), "line-words")
-    gone = near_copies(lines).select("place.*")
-    kept = firsts.select("doc_id", "dkey", "no").join(gone, ["doc_id", "dkey", "no"], "left_anti")
-    lists = kept.groupBy("doc_id", "dkey").agg(F.sort_array(F.collect_list("no")).alias("kept"))
-    # a byte for each line up to the last kept one: looked up in constant time
-    step = F.transform("kept", lambda k, j: F.concat(
-        F.repeat(F.lit("0"), k - F.coalesce(F.get("kept", j - 1), F.lit(-1)) - 1), F.lit("1")))
     a_id, a_key, a_n, a_mask = fresh(docs, "__id", "__key", "__n", "__mask")
-    masks = layer(lists.select(F.col("doc_id").alias(a_id), F.col("dkey").alias(a_key), F.size("kept").alias(a_n),
-                               F.array_join(step, "").cast("binary").alias(a_mask)), "line-kept")
+    with working_layers(docs.sparkSession) as still:
+        firsts = layer(first_lines(docs, min_words), "line-first")
+        wanted = firsts.join(_with_partner(firsts, min_words), ["h1", "h2"])
+        lines = layer(_texts(docs, wanted), "line-words")
+        gone = near_copies(lines).select("place.*")
+        kept = firsts.select("doc_id", "dkey", "no").join(gone, ["doc_id", "dkey", "no"], "left_anti")
+        lists = kept.groupBy("doc_id", "dkey").agg(F.sort_array(F.collect_list("no")).alias("kept"))
+        # a byte for each line up to the last kept one: looked up in constant time
+        step = F.transform("kept", lambda k, j: F.concat(
+            F.repeat(F.lit("0"), k - F.coalesce(F.get("kept", j - 1), F.lit(-1)) - 1), F.lit("1")))
+        masks = still(layer(lists.select(
+            F.col("doc_id").alias(a_id), F.col("dkey").alias(a_key), F.size("kept").alias(a_n),
+            F.array_join(step, "").cast("binary").alias(a_mask)), "line-kept"))
     names = [c for c in docs.columns if not counts or c.lower() not in ("n_lines", "n_dropped")]
     joined = docs.join(small_side(masks),
                        (F.col("doc_id") == F.col(a_id)) & (F.xxhash64("text") == F.col(a_key)), "left")
